@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from marketlens.plans import shop
+from marketlens.plans import eda, shop
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     # --- shop SQL pack
@@ -26,15 +26,16 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "orders_without_payment": shop.orders_without_payment,
     "daily_running_revenue": shop.daily_running_revenue,
     "order_totals_in_range": lambda t: shop.order_totals_in_range(t, "1998-01-01", "1998-06-30"),
+    # --- sales EDA
+    "sales_calendar": eda.sales_calendar,
+    "sales_quality": eda.sales_quality,
+    "sales_describe": eda.sales_describe,
+    "category_summary": eda.category_summary,
+    "sales_kpis": lambda t: eda.sales_kpis(t, focus_category="PROMO"),
+    "monthly_trend": eda.monthly_trend,
+    "revenue_by_category": eda.revenue_by_category,
+    "seasonality_matrix": eda.seasonality_matrix,
+    "channel_by_month": eda.channel_by_month,
+    "revenue_distribution": eda.revenue_distribution,
+    "region_by_category": eda.region_by_category,
 }
-
-
-def _register_more() -> None:
-    try:
-        from marketlens import catalog_more
-    except ImportError:
-        return
-    QUERIES.update(catalog_more.QUERIES)
-
-
-_register_more()
