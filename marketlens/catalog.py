@@ -9,8 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+from marketlens.plans import eda, measures, report, shop, warehouse
+
+
+
+def decimals_as_double(fn):
+    """Star tables keep exact decimals; their registered query shows doubles."""
+    def run(t):
+        df = fn(t)
+        return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                           else F.col(f.name) for f in df.schema.fields])
+    return run
 
-from marketlens.plans import eda, shop
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     # --- shop SQL pack
@@ -38,4 +51,45 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "channel_by_month": eda.channel_by_month,
     "revenue_distribution": eda.revenue_distribution,
     "region_by_category": eda.region_by_category,
+    # --- warehouse ETL
+    "dim_date": warehouse.dim_date,
+    "customer_cohort": warehouse.customer_cohort,
+    "dim_customer": warehouse.dim_customer,
+    "dim_product": warehouse.dim_product,
+    "dim_seller": warehouse.dim_seller,
+    "fact_orders": decimals_as_double(warehouse.fact_orders),
+    "fact_order_items": decimals_as_double(warehouse.fact_order_items),
+    "fact_payments": decimals_as_double(warehouse.fact_payments),
+    "warehouse_row_counts": warehouse.warehouse_row_counts,
+    "integrity_report": warehouse.integrity_report,
+    "warehouse_kpis": warehouse.warehouse_kpis,
+    "warehouse_cohort_retention": warehouse.warehouse_cohort_retention,
+    # --- KPIs and measures
+    "dashboard_kpis": measures.dashboard_kpis,
+    "measures_by_month": measures.measures_by_month,
+    "measures_by_state": measures.measures_by_state,
+    # --- report datasets
+    "kpi_cards": report.kpi_cards,
+    "monthly_revenue_rolling": report.monthly_revenue_rolling,
+    "top_categories": report.top_categories,
+    "revenue_by_state": report.revenue_by_state,
+    "order_status_mix": report.order_status_mix,
+    "cohort_matrix_18": report.cohort_matrix_18,
+    "new_vs_returning": report.new_vs_returning,
+    "orders_per_customer": report.orders_per_customer,
+    "top_customers": report.top_customers,
+    "category_pareto": report.category_pareto,
+    "avg_ticket_by_category": report.avg_ticket_by_category,
+    "category_quality": report.category_quality,
+    "top_products": report.top_products,
+    "delay_by_state": report.delay_by_state,
+    "late_share_by_state": report.late_share_by_state,
+    "review_distribution": report.review_distribution,
+    "late_vs_ontime_review": report.late_vs_ontime_review,
+    "top_routes": report.top_routes,
+    "payment_method_share": report.payment_method_share,
+    "installments_distribution": report.installments_distribution,
+    "aov_by_payment_method": report.aov_by_payment_method,
+    "payment_method_by_month": report.payment_method_by_month,
+    "top_sellers": report.top_sellers,
 }

@@ -35,7 +35,7 @@ def month_label_diff(later_label, earlier_label) -> Column:
 
 def floor_days(later, earlier) -> Column:
     """Whole days between two timestamps, floored (5 h late -> 0, 1 h early -> -1)."""
-    micros = F.timestampdiff("MICROSECOND", col(earlier), col(later))
+    micros = F.timestamp_diff("MICROSECOND", col(earlier), col(later))
     return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("int")
 
 
