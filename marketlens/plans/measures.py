@@ -8,8 +8,10 @@ then once to the grain: two map-side combined aggregations, no join and no
 distinct-count expansion. Ratios are computed in double precision as
 ``DIVIDE(a, b) * 100``; a zero or missing denominator gives null.
 
-Revenue PY is the same grain one period earlier, joined on the shifted
-period, so a gap stays null instead of borrowing a neighbour.
+Revenue PY is the same grain one period earlier, read through a RANGE
+window frame on a period index (12 months back, or 1 year back), so a gap
+stays null instead of borrowing a neighbour, and no second copy of the
+order pipeline is joined in.
 """
 
 from __future__ import annotations
@@ -59,11 +61,14 @@ def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
         F.sum("score_sum").alias("score_sum"), F.sum("score_n").alias("score_n"),
         F.sum("low").alias("low_review_orders"))
     if period:
-        shifted = (F.date_format(F.add_months(F.to_date(F.col(period), "yyyy-MM"), 12), "yyyy-MM")
-                   if period == "month_label" else F.col(period) + F.lit(1))
-        py = agg.select(*[shifted.alias(c) if c == period else F.col(c) for c in by],
-                        F.col("rev").alias("rev_py"))
-        agg = agg.join(py, by, "left")
+        # value of the same grain exactly one period earlier: a RANGE frame
+        # on a period index over the (small) aggregate, null on a gap
+        idx = (F.year(F.to_date(F.col(period), "yyyy-MM")) * 12 + F.month(F.to_date(F.col(period), "yyyy-MM"))
+               if period == "month_label" else F.col(period))
+        step = 12 if period == "month_label" else 1
+        others = [c for c in by if c != period]
+        w = Window.partitionBy(*others).orderBy(idx).rangeBetween(-step, -step)
+        agg = agg.withColumn("rev_py", F.sum("rev").over(w))
     else:
         agg = agg.withColumn("rev_py", F.lit(None).cast("decimal(38,4)"))
     out = agg.select(

@@ -1,0 +1,2 @@
+"""Nothing here: every analysis is batch. The source programs have no streams,
+watermarks, event-time windows or state, so no streaming job is built."""
