@@ -41,6 +41,14 @@ def _sort_cols(specs: Sequence[SortSpec]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_last() for c, asc in specs]
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null matches null (group keys may be null)."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                           *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort on ``order``; add ``_pid`` and ``_pos``; checkpoint."""
     spark = df.sparkSession
@@ -113,7 +121,7 @@ def with_global_rank(df: DataFrame, value: Sequence[SortSpec], tiebreak: Sequenc
     numbered = with_global_row_number(df, list(value) + list(tiebreak), "_g", num_partitions=num_partitions)
     keys = [c for c, _ in value]
     first = numbered.groupBy(*keys).agg(F.min("_g").alias(name))
-    return numbered.join(first, keys).withColumn(name, F.col(name).cast("int")).drop("_g")
+    return join_on_keys(numbered, first, keys).withColumn(name, F.col(name).cast("int")).drop("_g")
 
 
 def with_group_sequence(df: DataFrame, group: Sequence[str], order: Sequence[SortSpec],
@@ -129,7 +137,7 @@ def with_group_sequence(df: DataFrame, group: Sequence[str], order: Sequence[Sor
     spec = [(g, True) for g in group] + list(order)
     numbered = with_global_row_number(df, spec, "_g", num_partitions=num_partitions)
     starts = numbered.groupBy(*group).agg(F.min("_g").alias("_g0"))
-    out = (numbered.join(starts, list(group))
+    out = (join_on_keys(numbered, starts, list(group))
                    .withColumn(number_name, (F.col("_g") - F.col("_g0") + F.lit(1)).cast("int")))
     if lags:
         prev = numbered.select(
@@ -140,7 +148,7 @@ def with_group_sequence(df: DataFrame, group: Sequence[str], order: Sequence[Sor
         out = out.join(prev, "_g", "left")
         same = None
         for g in group:
-            eq = F.col(f"_prev_{g}") == F.col(g)
+            eq = F.col(f"_prev_{g}").eqNullSafe(F.col(g))
             same = eq if same is None else (same & eq)
         for src, alias in lags.items():
             out = out.withColumn(alias, F.when(same, F.col(f"_lag_{src}")))

@@ -54,18 +54,28 @@ def sales_quality(t) -> DataFrame:
 
 def sales_describe(t) -> DataFrame:
     """count, mean, std, min, quartiles, max of the numeric columns, rounded
-    to 2 decimals (half to even). Quartiles are exact and distributed."""
+    to 2 decimals (half to even). Quartiles are exact and distributed.
+
+    The three columns are stacked into (column_name, value) and counted per
+    distinct value once; that checkpointed table feeds the moments, the
+    deviations and the quartiles, so the source is read a single time.
+    """
     long = t.sales.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
         for c in DESCRIBE_COLUMNS])).alias("v")).select("v.*")
-    moments = long.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        X.mean("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    quarts = Q.quantiles(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by=["column_name"])
+    ranks = Q.running_counts(Q.value_counts(long, "value", ["column_name"]), "value", ["column_name"])
+    w, v = F.col("_w"), F.col("value")
+    moments = ranks.groupBy("column_name").agg(
+        F.sum(w).alias("count"), (F.sum(v * w) / F.sum(w)).alias("mean"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    # one row per described column: bounded
+    dev = (ranks.join(F.broadcast(moments.select("column_name", F.col("mean").alias("_m"))), "column_name")
+           .groupBy("column_name")
+           .agg(F.sqrt(F.try_divide(F.sum(w * (v - F.col("_m")) * (v - F.col("_m"))),
+                                    (F.sum(w) - F.lit(1)).cast("double"))).alias("std")))
+    quarts = Q.quantiles_from_ranks(ranks, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by=["column_name"])
     r = lambda c: F.bround(F.col(c), 2).alias(c)
-    return (moments.join(quarts, "column_name")
+    return (moments.join(dev, "column_name").join(quarts, "column_name")
             .select("column_name", "count", r("mean"), r("std"), r("min"),
                     r("q25"), r("q50"), r("q75"), r("max"))
             .orderBy("column_name"))
@@ -151,15 +161,15 @@ def revenue_distribution(t) -> DataFrame:
     fences and outliers count the rows beyond them.
     """
     s = t.sales.select("category", F.col("revenue").cast("double").alias("value"))
-    counts = Q.value_counts(s, "value", ["category"])
-    ranks = Q.running_counts(counts, "value", ["category"])
+    ranks = Q.running_counts(Q.value_counts(s, "value", ["category"]), "value", ["category"])
     quarts = Q.quantiles_from_ranks(ranks, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"],
                                     by=["category"], digits=4)
     iqr = F.col("q3") - F.col("q1")
     fences = quarts.select("*", (F.col("q1") - F.lit(1.5) * iqr).alias("lo_fence"),
                            (F.col("q3") + F.lit(1.5) * iqr).alias("hi_fence"))
     inside = F.col("value").between(F.col("lo_fence"), F.col("hi_fence"))
-    stats = (counts.join(fences, "category")
+    # box statistics from the checkpointed (category, value, count) table
+    stats = (ranks.join(fences, "category")
              .groupBy("category", "q1", "median", "q3")
              .agg(F.sum("_w").alias("count"),
                   F.min("value").alias("min"), F.max("value").alias("max"),

@@ -28,8 +28,12 @@ FAR_FUTURE = dt.datetime(9999, 12, 31)
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
-    """Select the declared columns, cast to the declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Select the declared columns, cast to the declared types (only where
+    the type differs: every cast is a round trip to the JVM at build time)."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[F.col(f.name) if have.get(f.name) == f.dataType
+                       else F.col(f.name).cast(f.dataType.simpleString()).alias(f.name)
+                       for f in schema.fields])
 
 
 # ------------------------------------------------------------------ dimensions
@@ -199,6 +203,28 @@ INTEGRITY_RULES = [
 ]
 
 
+# Declared constraints of the shop schema (customers, products, orders,
+# order_items, payments), for ``integrity_report(t, SHOP_INTEGRITY_RULES)``.
+SHOP_INTEGRITY_RULES = [
+    ("customers", "pk", "unique", ("customer_id",)),
+    ("customers", "not_null", "not_null", ("name", "signup_date")),
+    ("products", "pk", "unique", ("product_id",)),
+    ("products", "cost_non_negative", "check", "cost_price >= 0"),
+    ("orders", "pk", "unique", ("order_id",)),
+    ("orders", "fk_customer", "fk", ("customer_id", "customers", "customer_id")),
+    ("orders", "status_known", "check", "status IN ('completed', 'cancelled', 'refunded', 'pending')"),
+    ("order_items", "pk", "unique", ("item_id",)),
+    ("order_items", "fk_order", "fk", ("order_id", "orders", "order_id")),
+    ("order_items", "fk_product", "fk", ("product_id", "products", "product_id")),
+    ("order_items", "quantity_positive", "check", "quantity > 0"),
+    ("order_items", "price_non_negative", "check", "unit_price >= 0"),
+    ("payments", "pk", "unique", ("payment_id",)),
+    ("payments", "fk_order", "fk", ("order_id", "orders", "order_id")),
+    ("payments", "amount_non_negative", "check", "amount >= 0"),
+    ("payments", "method_known", "check", "method IN ('card', 'paypal', 'transfer')"),
+]
+
+
 def _violations(t, table: str, kind: str, args) -> DataFrame:
     df = t[table]
     if kind == "unique":

@@ -73,7 +73,8 @@ class Tables:
         def base() -> dict[str, DataFrame]:
             if not base_cache:
                 for t in testdata.BASE_TABLES:
-                    base_cache[t] = spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet"))
+                    base_cache[t] = (spark.read.schema(testdata.BASE_SCHEMAS[t])
+                                     .parquet(os.path.join(sf_dir, f"{t}.parquet")))
             return base_cache
 
         builders = {name: (lambda n=name: testdata.build_view(spark, base(), n))

@@ -157,3 +157,16 @@ def test_order_totals_in_range_prunes_month_partitions(spark, t, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_month" in plan
     assert "PushedFilters" in plan and "order_date" in plan
+
+
+def test_shop_integrity_rules(t):
+    from marketlens.plans.warehouse import SHOP_INTEGRITY_RULES, integrity_report
+    r = {(x.table_name, x.rule): x.violations for x in integrity_report(t, SHOP_INTEGRITY_RULES).collect()}
+    assert len(r) == len(SHOP_INTEGRITY_RULES) and all(v == 0 for v in r.values())
+
+
+def test_save_results_writes_csv(spark, t, tmp_dir):
+    from marketlens.sources.sinks import save_results
+    save_results(t, {"monthly_revenue": shop.monthly_revenue}, tmp_dir)
+    back = spark.read.option("header", True).csv(os.path.join(tmp_dir, "monthly_revenue"))
+    assert back.count() == 5
