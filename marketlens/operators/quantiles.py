@@ -8,8 +8,9 @@ values. Here:
 1. values are counted per (group, value) — a map-side combined aggregate,
    so a value repeated by a third of all rows becomes one row with a count;
 2. the (group, value) pairs are range-partitioned and sorted
-   (`ranking.range_sorted`), and a running count is taken inside each range
-   plus the counts of the ranges before it (a small per-range table);
+   (`ranking.range_sorted`); a running count is taken in one pass over each
+   range (rows already sorted there), plus the counts of the ranges before
+   it (a small per-range table, broadcast);
 3. each group learns its first running position and size, and for every
    requested probability p the two neighbouring ranks floor/ceil of
    p*(n-1) are picked by conditional aggregates over the rows whose count
@@ -36,14 +37,13 @@ def running_counts(counts: DataFrame, value: str, by: Sequence[str] = ()) -> Dat
     """Add ``_lo`` / ``_hi``: the 0-based rank interval [_lo, _hi) each
     distinct value covers inside its group."""
     by = list(by)
-    ranged = range_sorted(counts, [(b, True) for b in by] + [(value, True)])
+    ranged = range_sorted(counts, [(b, True) for b in by] + [(value, True)], running_sum="_w")
     per_range = ranged.groupBy("_pid").agg(F.sum("_w").alias("_pw"))  # one row per range
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select("_pid", F.coalesce(F.sum("_pw").over(before), F.lit(0)).alias("_woff"),
                                F.sum("_pw").over(Window.partitionBy()).alias("_total"))
-    inside = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     cum = (ranged.join(F.broadcast(offsets), "_pid")
-                 .withColumn("_cum", F.sum("_w").over(inside) + F.col("_woff")))
+                 .withColumn("_cum", F.col("_cum_local") + F.col("_woff")))
     if by:
         starts = cum.groupBy(*by).agg(F.min(F.col("_cum") - F.col("_w")).alias("_start"),
                                       F.sum("_w").alias("_n"))
@@ -53,7 +53,7 @@ def running_counts(counts: DataFrame, value: str, by: Sequence[str] = ()) -> Dat
         cum = cum.withColumn("_start", F.lit(0).cast("long")).withColumnRenamed("_total", "_n")
     return (cum.withColumn("_hi", F.col("_cum") - F.col("_start"))
                .withColumn("_lo", F.col("_hi") - F.col("_w"))
-               .drop("_pid", "_pos", "_woff", "_cum", "_start", "_total"))
+               .drop("_pid", "_pos", "_woff", "_cum", "_cum_local", "_start", "_total"))
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],

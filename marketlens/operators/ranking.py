@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from marketlens.session import ensure_checkpoint_dir
 
@@ -49,8 +50,28 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort on ``order``; add ``_pid`` and ``_pos``; checkpoint."""
+def _running_sum_in_partition(column: str, out: str):
+    """Per-partition running sum in row order, carried across Arrow batches."""
+    def run(batches):
+        carry = 0
+        for pdf in batches:
+            cum = pdf[column].cumsum() + carry
+            if len(cum):
+                carry = int(cum.iloc[-1])
+            pdf[out] = cum
+            yield pdf
+    return run
+
+
+def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int | None = None,
+                 running_sum: str | None = None) -> DataFrame:
+    """Range-partition and sort on ``order``; add ``_pid`` and ``_pos``; checkpoint.
+
+    With ``running_sum`` (a non-negative integer column) each row also gets
+    ``_cum_local``: the running sum of that column inside its range, in sort
+    order. The rows of a range are already together and sorted, so this is
+    one pass over each partition (no second shuffle or sort).
+    """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _sort_cols(order)
@@ -59,6 +80,9 @@ def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int |
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()
                             - F.col("_pid").cast("long") * F.lit(_POS_SHIFT)))
+    if running_sum:
+        schema = StructType(tagged.schema.fields + [StructField("_cum_local", LongType(), False)])
+        tagged = tagged.mapInPandas(_running_sum_in_partition(running_sum, "_cum_local"), schema)
     ensure_checkpoint_dir(spark)
     return tagged.checkpoint(eager=True)
 
