@@ -30,6 +30,7 @@ class Tables:
         self.spark = spark
         self._builders: dict[str, Callable[[], DataFrame]] = dict(builders or {})
         self._built: dict[str, DataFrame] = {}
+        self.materialize_star = False
 
     # -- access -------------------------------------------------------------
     def __getattr__(self, name: str) -> DataFrame:
@@ -60,9 +61,25 @@ class Tables:
         return self
 
     def _derived(self, name: str):
+        """Star tables not supplied are built from the raw layer on first use.
+
+        By default they stay plans, so each report prunes the ETL to the
+        columns it needs. With ``materialize_star = True`` (for a `Tables`
+        that serves many reports) each derived table is built once and
+        checkpointed to the cluster's checkpoint folder instead; for a single
+        report that loses column pruning and measured slower.
+        """
         if name in schemas.STAR:
             from marketlens.plans import warehouse
-            return lambda: warehouse.STAR_BUILDERS[name](self)
+            from marketlens.session import ensure_checkpoint_dir
+
+            def build():
+                df = warehouse.STAR_BUILDERS[name](self)
+                if not self.materialize_star:
+                    return df
+                ensure_checkpoint_dir(self.spark)
+                return df.checkpoint(eager=True)
+            return build
         return None
 
     # -- constructors -------------------------------------------------------
