@@ -38,18 +38,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Make sure reliable checkpoints have a home.
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared
     file system the cluster names). Only a local-mode session without that
-    setting gets a private temporary folder, as in tests.
+    setting gets a private temporary folder, as in tests. A Spark Connect
+    session has no SparkContext here; the server's setting applies.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpoints use the server's folder
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return configured
