@@ -153,3 +153,25 @@ def test_write_star_partitions_fact_orders(spark, t, tmp_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_month" in plan
     assert q.count() == 2
+
+
+def test_report_slicers(t):
+    # year slicer: nothing was bought in 2016
+    assert report.order_status_mix(t, year=2016).count() == 0
+    # state slicer: RJ holds o3 (shipped) and o4 (delivered)
+    mix = by(report.order_status_mix(t, states=["RJ"]), "order_status")
+    assert mix == {"shipped": {"order_status": "shipped", "orders": 1},
+                   "delivered": {"order_status": "delivered", "orders": 1}}
+    # category slicer on an item-level dataset
+    cats = by(report.top_categories(t, categories=["computers"]), "category_en")
+    assert list(cats) == ["computers"] and cats["computers"]["revenue"] == 55.0
+    # kpi cards with a year: prior year has no orders, so YoY is null
+    card = report.kpi_cards(t, year=2017).collect()[0]
+    assert card.orders == 4 and card.revenue_yoy_pct is None
+
+
+def test_cohort_matrix_first_cohorts_and_offsets(t):
+    m = warehouse.warehouse_cohort_retention(t, matrix=True, max_cohorts=1, max_months=2)
+    rows = m.collect()
+    assert [r.cohort_month for r in rows] == ["2017-01"]
+    assert rows[0]["0"] == 100.0 and rows[0]["1"] == 100.0
