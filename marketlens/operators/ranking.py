@@ -63,6 +63,14 @@ def _running_sum_in_partition(column: str, out: str):
     return run
 
 
+def materialize_small(df: DataFrame) -> DataFrame:
+    """Checkpoint a small aggregate (bounded by the calendar or a category
+    list) before something reads it twice, e.g. a pivot that must first
+    collect its distinct column values; the source pipeline then runs once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int | None = None,
                  running_sum: str | None = None) -> DataFrame:
     """Range-partition and sort on ``order``; add ``_pid`` and ``_pos``; checkpoint.

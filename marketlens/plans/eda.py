@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
 from marketlens.operators import quantiles as Q
+from marketlens.operators.ranking import materialize_small
 
 # fixed values: Q4 months and the two sales channels, as the analysis names them
 Q4_MONTHS = (10, 11, 12)
@@ -142,7 +143,8 @@ def seasonality_matrix(t) -> DataFrame:
     """Calendar month (Jan..Dec) x one column per year, revenue summed."""
     per = (t.sales.groupBy(F.month("date").alias("month"), F.year("date").alias("year"))
            .agg(F.sum("revenue").cast("double").alias("revenue")))
-    wide = per.groupBy("month").pivot("year").agg(F.first("revenue"))
+    # months x years: small; materialized so the pivot's year scan reads it, not the sales
+    wide = materialize_small(per).groupBy("month").pivot("year").agg(F.first("revenue"))
     return (wide.withColumn("month_name", F.date_format(F.make_date(F.lit(2000), F.col("month"), F.lit(1)), "MMM"))
                 .orderBy("month"))
 
@@ -184,7 +186,8 @@ def region_by_category(t) -> DataFrame:
     """Region x category revenue, missing cells 0, regions by total desc."""
     per = (t.sales.groupBy("region", "category")
            .agg(F.sum("revenue").cast("double").alias("revenue")))
-    wide = per.groupBy("region").pivot("category").agg(F.first("revenue")).fillna(0.0)
+    # regions x categories: small; materialized for the pivot's value scan
+    wide = materialize_small(per).groupBy("region").pivot("category").agg(F.first("revenue")).fillna(0.0)
     cats = [c for c in wide.columns if c != "region"]
     total = sum((F.col(f"`{c}`") for c in cats), F.lit(0.0))
     return wide.withColumn("_total", total).orderBy(F.col("_total").desc(), "region").drop("_total")

@@ -138,7 +138,9 @@ def cohort_retention(t, denominator: str = "active") -> DataFrame:
 
 def cohort_retention_matrix(t, max_months: int | None = None) -> DataFrame:
     """Cohorts as rows, months since signup as columns, retention % as cells."""
-    long = cohort_retention(t)
+    # cohorts x offsets: small; materialized so the pivot's value scan and
+    # the pivot itself do not both run the pipeline
+    long = ranking.materialize_small(cohort_retention(t))
     if max_months is not None:
         long = long.filter(F.col("months_since_signup") <= max_months)
         values = list(range(0, max_months + 1))
@@ -148,7 +150,7 @@ def cohort_retention_matrix(t, max_months: int | None = None) -> DataFrame:
     return wide.agg(F.first("retention_pct")).orderBy("cohort_month")
 
 
-SEGMENTS = [  # fixed values: (minimum rfm_total or rule, label), checked in order
+SEGMENTS = [  # fixed values: segment labels, in the order their rules are checked
     "Champions", "Loyal Customers", "New Customers", "At Risk", "Need Attention",
 ]
 
