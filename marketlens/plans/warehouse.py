@@ -226,29 +226,47 @@ SHOP_INTEGRITY_RULES = [
 
 
 def _violations(t, table: str, kind: str, args) -> DataFrame:
+    """Violations of a key rule: extra rows per key, or orphan references."""
     df = t[table]
     if kind == "unique":
         # rows beyond the first per key; the per-key count is map-side combined
         dup = df.groupBy(*args).agg(F.count(F.lit(1)).alias("n"))
         return dup.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("violations"))
-    if kind == "not_null":
-        cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in args])
-        return df.agg(F.count_if(cond).alias("violations"))
     if kind == "fk":
         col, parent, pcol = args
         parent_keys = t[parent].select(F.col(pcol).alias(col))
         orphans = df.filter(F.col(col).isNotNull()).join(parent_keys, col, "left_anti")
         return orphans.agg(F.count(F.lit(1)).alias("violations"))
-    if kind == "check":
-        return df.agg(F.count_if(~F.coalesce(F.expr(args), F.lit(True))).alias("violations"))
     raise ValueError(kind)
 
 
+def _row_rule(kind: str, args):
+    """Per-row violation flag of a not-null or check rule."""
+    if kind == "not_null":
+        return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in args])
+    return ~F.coalesce(F.expr(args), F.lit(True))  # a CHECK passes on null
+
+
 def integrity_report(t, rules=INTEGRITY_RULES) -> DataFrame:
-    """One row per declared rule with the number of rows breaking it."""
-    parts = [_violations(t, table, kind, args).select(
-                F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations")
-             for table, rule, kind, args in rules]
+    """One row per declared rule with the number of rows breaking it.
+
+    Row-level rules (not null, check) of one table share a single scan;
+    key rules (unique, foreign key) are one aggregate or anti join each.
+    """
+    parts = []
+    row_rules: dict[str, list] = {}
+    for table, rule, kind, args in rules:
+        if kind in ("not_null", "check"):
+            row_rules.setdefault(table, []).append((rule, kind, args))
+        else:
+            parts.append(_violations(t, table, kind, args).select(
+                F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"))
+    for table, rs in row_rules.items():
+        counts = t[table].agg(*[F.count_if(_row_rule(kind, args)).alias(f"v{i}")
+                                for i, (_, kind, args) in enumerate(rs)])
+        parts.append(counts.select(F.explode(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), F.col(f"v{i}").alias("violations"))
+            for i, (rule, _, _) in enumerate(rs)])).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
