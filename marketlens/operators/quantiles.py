@@ -66,7 +66,9 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
 
 
 def quantiles_from_ranks(ranks: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                         by: Sequence[str] = (), digits: int | None = None) -> DataFrame:
+                         by: Sequence[str] = (), digits: int | None = None, extra=()) -> DataFrame:
+    """Quantile columns per group from `running_counts` output; ``extra``
+    aggregate columns (over the (value, ``_w``) rows) ride in the same pass."""
     aggs, finals = [], []
     for p, name in zip(probs, names):
         pos = F.lit(float(p)) * (F.col("_n") - F.lit(1))
@@ -79,5 +81,7 @@ def quantiles_from_ranks(ranks: DataFrame, value: str, probs: Sequence[float], n
                  F.max(pos - k_lo).alias(f"_{name}_d")]
         q = F.col(f"_{name}_a") + (F.col(f"_{name}_b") - F.col(f"_{name}_a")) * F.col(f"_{name}_d")
         finals.append((F.round(q, digits) if digits is not None else q).alias(name))
-    agg = ranks.groupBy(*by).agg(*aggs) if by else ranks.agg(*aggs)
-    return agg.select(*by, *finals)
+    extra = list(extra)
+    agg = ranks.groupBy(*by).agg(*aggs, *extra) if by else ranks.agg(*aggs, *extra)
+    extras = [c for c in agg.columns if c not in by and not c.startswith("_")]  # helpers start with "_"
+    return agg.select(*by, *finals, *extras)

@@ -66,19 +66,18 @@ def sales_describe(t) -> DataFrame:
         for c in DESCRIBE_COLUMNS])).alias("v")).select("v.*")
     ranks = Q.running_counts(Q.value_counts(long, "value", ["column_name"]), "value", ["column_name"])
     w, v = F.col("_w"), F.col("value")
-    moments = ranks.groupBy("column_name").agg(
-        F.sum(w).alias("count"), (F.sum(v * w) / F.sum(w)).alias("mean"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    # one row per described column: bounded
-    dev = (ranks.join(F.broadcast(moments.select("column_name", F.col("mean").alias("_m"))), "column_name")
-           .groupBy("column_name")
-           .agg(F.sqrt(F.try_divide(F.sum(w * (v - F.col("_m")) * (v - F.col("_m"))),
-                                    (F.sum(w) - F.lit(1)).cast("double"))).alias("std")))
-    quarts = Q.quantiles_from_ranks(ranks, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by=["column_name"])
-    r = lambda c: F.bround(F.col(c), 2).alias(c)
-    return (moments.join(dev, "column_name").join(quarts, "column_name")
-            .select("column_name", "count", r("mean"), r("std"), r("min"),
-                    r("q25"), r("q50"), r("q75"), r("max"))
+    # quartiles and moments in one pass over the (value, count) rows
+    stats = Q.quantiles_from_ranks(
+        ranks, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by=["column_name"],
+        extra=[F.sum(w).alias("count"), F.sum(v * w).alias("s1"), F.sum(v * v * w).alias("s2"),
+               F.min(v).alias("min"), F.max(v).alias("max")])
+    n = F.col("count")
+    mean = F.col("s1") / n
+    var = F.try_divide(F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / n, F.lit(0.0)), (n - 1).cast("double"))
+    r = lambda c, name: F.bround(c, 2).alias(name)
+    return (stats.select("column_name", "count", r(mean, "mean"), r(F.sqrt(var), "std"), r(F.col("min"), "min"),
+                         r(F.col("q25"), "q25"), r(F.col("q50"), "q50"), r(F.col("q75"), "q75"),
+                         r(F.col("max"), "max"))
             .orderBy("column_name"))
 
 
