@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_DAY = 86_400_000_000
-
-
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -33,10 +30,23 @@ def month_label_diff(later_label, earlier_label) -> Column:
     return month_diff(F.to_date(col(later_label), "yyyy-MM"), F.to_date(col(earlier_label), "yyyy-MM"))
 
 
+def time_of_day(c) -> Column:
+    """Seconds since midnight, with the fraction (a field read: no time zone)."""
+    c = col(c)
+    return F.hour(c) * 3600 + F.minute(c) * 60 + F.date_part(F.lit("SECOND"), c)
+
+
 def floor_days(later, earlier) -> Column:
-    """Whole days between two timestamps, floored (5 h late -> 0, 1 h early -> -1)."""
-    micros = F.timestamp_diff("MICROSECOND", col(earlier), col(later))
-    return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("int")
+    """Whole days between two timestamps, floored (5 h late -> 0, 1 h early -> -1).
+
+    Calendar days between the dates, minus one when the later timestamp is
+    earlier in its day. Built from field reads only, so a daylight-saving
+    change in the session time zone cannot shift it (a microsecond
+    difference of wall-clock timestamps can).
+    """
+    days = F.datediff(F.to_date(col(later)), F.to_date(col(earlier)))
+    borrow = F.when(time_of_day(later) < time_of_day(earlier), F.lit(1)).otherwise(F.lit(0))
+    return (days - borrow).cast("int")
 
 
 def safe_div(num, den) -> Column:

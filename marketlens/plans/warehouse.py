@@ -13,7 +13,6 @@ by purchase month so date-bounded reads prune whole folders.
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 from functools import reduce
 
@@ -24,7 +23,7 @@ from marketlens.functions import expr as X
 from marketlens.sources import schemas
 
 DELIVERED_OR_SHIPPED = ("delivered", "shipped")
-FAR_FUTURE = dt.datetime(9999, 12, 31)
+FAR_FUTURE = "9999-12-31 00:00:00"  # undated reviews sort after every dated one
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
@@ -103,7 +102,8 @@ def _latest_review(t) -> DataFrame:
     """Score of the latest review with a score, per order; undated reviews
     count as latest, review id breaks ties."""
     r = t.raw_order_reviews.filter(F.col("review_score").isNotNull())
-    key = F.struct(F.coalesce("review_creation_date", F.lit(FAR_FUTURE)), F.col("review_id"))
+    far = F.lit(FAR_FUTURE).cast("timestamp_ntz")  # same type as the column: no time-zone shift
+    key = F.struct(F.coalesce("review_creation_date", far), F.col("review_id"))
     return r.groupBy("order_id").agg(F.max_by("review_score", key).alias("review_score"))
 
 

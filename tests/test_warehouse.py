@@ -175,3 +175,22 @@ def test_cohort_matrix_first_cohorts_and_offsets(t):
     rows = m.collect()
     assert [r.cohort_month for r in rows] == ["2017-01"]
     assert rows[0]["0"] == 100.0 and rows[0]["1"] == 100.0
+
+
+def test_delay_ignores_session_time_zone(spark):
+    """A daylight-saving change in the session zone must not move whole days."""
+    from pyspark.sql import functions as F
+
+    from marketlens.functions.expr import floor_days
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ '1999-10-03 00:00:00' AS est, TIMESTAMP_NTZ '2001-07-21 00:00:00' AS d, "
+                       "TIMESTAMP_NTZ '2017-01-20 10:00:00' AS e2, TIMESTAMP_NTZ '2017-01-20 15:00:00' AS d2, "
+                       "TIMESTAMP_NTZ '2017-02-09 10:00:00' AS e3, TIMESTAMP_NTZ '2017-02-09 09:00:00' AS d3")
+        r = df.select(floor_days("d", "est").alias("a"), floor_days("d2", "e2").alias("b"),
+                      floor_days("d3", "e3").alias("c"), floor_days(F.lit(None).cast("timestamp_ntz"), "e3").alias("n")
+                      ).first()
+        assert (r.a, r.b, r.c, r.n) == (657, 0, -1, None)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
