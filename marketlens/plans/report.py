@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
 from marketlens.plans import measures as M
+from marketlens.operators.ranking import materialize_small
 from marketlens.plans.warehouse import warehouse_cohort_retention
 
 LATE_TARGET_PCT = 7.0  # fixed value: target line of the late-share chart
@@ -294,7 +295,9 @@ def payment_method_by_month(t, year=None, states=None, wide: bool = False) -> Da
             .agg(F.sum("payment_value").cast("double").alias("revenue")))
     if not wide:
         return long.orderBy("payment_type", "month_label")
-    return long.groupBy("payment_type").pivot("month_label").agg(F.first("revenue")).orderBy("payment_type")
+    # methods x months: small; materialized so the pivot's month scan reads it, not the facts
+    return (materialize_small(long).groupBy("payment_type").pivot("month_label")
+            .agg(F.first("revenue")).orderBy("payment_type"))
 
 
 # ------------------------------------------------------------- top sellers

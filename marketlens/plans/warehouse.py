@@ -271,14 +271,19 @@ def integrity_report(t, rules=INTEGRITY_RULES) -> DataFrame:
 
 
 # ------------------------------------------------------------------ KPIs
-def warehouse_kpis(t) -> DataFrame:
+def warehouse_kpis(t, customer_key: str = "customer_id") -> DataFrame:
     """Headline numbers over delivered and shipped orders (one row).
 
     One pass: orders are first rolled up per customer (which the repeat
     rate needs anyway), then a single global aggregate combines the partial
-    sums and counts.
+    sums and counts. ``customer_key="customer_unique_id"`` counts people
+    rather than per-order customer ids (the raw customer table maps one to
+    the other).
     """
     fo = t.fact_orders.filter(F.col("order_status").isin(*DELIVERED_OR_SHIPPED))
+    if customer_key != "customer_id":
+        people = t.raw_customers.select("customer_id", F.col(customer_key).alias("_person"))
+        fo = fo.join(people, "customer_id", "left").drop("customer_id").withColumnRenamed("_person", "customer_id")
     per_customer = fo.groupBy("customer_id").agg(
         F.count("order_id").alias("n"),
         F.sum("revenue").alias("rev"), F.count("revenue").alias("rev_n"),

@@ -194,3 +194,16 @@ def test_delay_ignores_session_time_zone(spark):
         assert (r.a, r.b, r.c, r.n) == (657, 0, -1, None)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_repeat_rate_by_person(t):
+    # c1 and c2 are different people; mapping both to one person would give 100 % anyway,
+    # so check the mapping is applied and the customer count follows the key
+    k = warehouse.warehouse_kpis(t, customer_key="customer_unique_id").collect()[0]
+    assert k.customers == 2 and k.repeat_rate_pct == 100.0
+
+
+def test_payment_method_by_month_wide(t):
+    w = by(report.payment_method_by_month(t, wide=True), "payment_type")
+    assert w["credit_card"]["2017-01"] == 100.0 and w["credit_card"]["2017-03"] == 22.0
+    assert w["boleto"]["2017-01"] is None
