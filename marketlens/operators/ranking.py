@@ -16,19 +16,25 @@ plan in three steps:
    broadcast;
 3. global row number = offset of the range + position inside it.
 
-RANK and NTILE follow from the global row number and the total count.
-Per-group numbering (``row_number``/``lag`` over ``partition by customer``)
-uses the same global numbering over (group, order) so one huge group is
-spread over many tasks instead of landing in a single window partition.
+NTILE follows from the global row number and the total count. RANK and
+per-group numbering (``row_number``/``lag`` over ``partition by customer``)
+sort by (group, order) the same way; one pass over each sorted range marks
+where groups start and what the previous row held, and a per-range summary
+(again one row per range) settles groups that cross range boundaries, so a
+customer with a third of all rows is spread over many tasks and no second
+shuffle is needed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from marketlens.session import ensure_checkpoint_dir
 
@@ -71,14 +77,68 @@ def materialize_small(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _same_as_previous(values: list, carry: tuple | None) -> np.ndarray:
+    """Per row: does it share the group key of the row before it (nulls equal)?"""
+    n = len(values[0])
+    same = np.ones(n, dtype=bool)
+    for i, v in enumerate(values):
+        prev = v.shift(1)
+        if carry is not None:
+            prev.iloc[0] = carry[i]
+        same &= ((v == prev) | (v.isna() & prev.isna())).to_numpy()
+    if carry is None:
+        same[0] = False  # the first row of a range opens a group
+    return same
+
+
+def _sequence_in_partition(group: list[str], lags: list[str]):
+    """One pass over a sorted range: for every row the local position where
+    its group starts (``_gstart``), whether it belongs to the group the range
+    opens with (``_head``, which may have started in an earlier range), and
+    the previous row's values inside its group (``_lag_<col>``)."""
+    def run(batches):
+        carry_key = carry_lag = None
+        carry_start, in_head = 0, True
+        for pdf in batches:
+            if len(pdf) == 0:
+                yield pdf.assign(_gstart=pd.Series(dtype="int64"), _head=pd.Series(dtype=bool),
+                                 **{f"_lag_{c}": pd.Series(dtype=object) for c in lags})
+                continue
+            keys = [pdf[c].astype(object) for c in group]
+            new = ~_same_as_previous(keys, carry_key)
+            pos = pdf["_pos"].to_numpy()
+            starts = np.where(new, pos, -1)
+            if not new[0]:
+                starts[0] = carry_start
+            starts = np.maximum.accumulate(starts)  # positions only grow: a forward fill
+            opened = new.copy()
+            if carry_key is None:
+                opened[0] = False  # the range's own first row does not end its head group
+            head = in_head & (np.cumsum(opened) == 0)
+            out = {"_gstart": starts.astype("int64"), "_head": head}
+            for c in lags:
+                v = pdf[c].astype(object)
+                prev = v.shift(1)
+                prev.iloc[0] = None if carry_lag is None else carry_lag[c]
+                prev[new] = None
+                out[f"_lag_{c}"] = prev
+            carry_key = tuple(k.iloc[-1] for k in keys)
+            carry_lag = {c: pdf[c].astype(object).iloc[-1] for c in lags}
+            carry_start, in_head = int(starts[-1]), bool(head[-1])
+            yield pdf.assign(**out)
+    return run
+
+
 def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int | None = None,
-                 running_sum: str | None = None) -> DataFrame:
+                 running_sum: str | None = None, sequence: tuple | None = None) -> DataFrame:
     """Range-partition and sort on ``order``; add ``_pid`` and ``_pos``; checkpoint.
 
     With ``running_sum`` (a non-negative integer column) each row also gets
     ``_cum_local``: the running sum of that column inside its range, in sort
-    order. The rows of a range are already together and sorted, so this is
-    one pass over each partition (no second shuffle or sort).
+    order. With ``sequence=(group_cols, lag_cols)`` each row gets the
+    group-start and lag columns of `_sequence_in_partition`. The rows of a
+    range are already together and sorted, so either is one Arrow-batched
+    pass over each partition (no second shuffle or sort).
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -91,6 +151,13 @@ def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int |
     if running_sum:
         schema = StructType(tagged.schema.fields + [StructField("_cum_local", LongType(), False)])
         tagged = tagged.mapInPandas(_running_sum_in_partition(running_sum, "_cum_local"), schema)
+    if sequence:
+        group, lags = list(sequence[0]), list(sequence[1])
+        types = {f.name: f.dataType for f in tagged.schema.fields}
+        schema = StructType(tagged.schema.fields + [StructField("_gstart", LongType(), False),
+                                                    StructField("_head", BooleanType(), False)]
+                            + [StructField(f"_lag_{c}", types[c], True) for c in lags])
+        tagged = tagged.mapInPandas(_sequence_in_partition(group, lags), schema)
     ensure_checkpoint_dir(spark)
     return tagged.checkpoint(eager=True)
 
@@ -141,19 +208,70 @@ def with_global_ntile(df: DataFrame, order: Sequence[SortSpec], k: int, name: st
                     .drop("_g", "_total"))
 
 
+def _sequence_summary(ranged: DataFrame, group: Sequence[str], lags: Sequence[str]) -> DataFrame:
+    """One row per range (a bounded table): its row offset, whether its first
+    group continues the previous range's last group (``_cont``), the global
+    start of its head group (``_head_start``) and the previous range's last
+    lag-source values (``_prev_<col>``).
+
+    A group can span many ranges (one customer with a third of all rows);
+    the start of such a group is carried forward over the ranges it fills
+    with a last-non-null window over this small table.
+    """
+    g_first = F.min_by(F.struct(*[F.col(c) for c in group]), "_pos")
+    last_cols = [F.col(c) for c in group] + [F.col(c) for c in lags] + [F.col("_gstart"), F.col("_head")]
+    per = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), g_first.alias("_f"),
+                                     F.max_by(F.struct(*last_cols), "_pos").alias("_l"))
+    order = Window.orderBy("_pid")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    per = per.withColumn("_pl", F.lag("_l").over(order))
+    cont = F.lit(True)
+    for c in group:
+        cont = cont & F.col("_f")[c].eqNullSafe(F.col("_pl")[c])
+    per = per.withColumn("_cont", F.col("_pl").isNotNull() & cont)
+    # global start of the range's last group when this range alone shows it
+    anchor = (F.when(~F.col("_l._head"), F.col("_offset") + F.col("_l._gstart"))
+               .when(~F.col("_cont"), F.col("_offset")))
+    per = per.withColumn("_x", F.last(anchor, ignorenulls=True).over(upto))
+    per = per.withColumn("_head_start", F.when(~F.col("_cont"), F.col("_offset"))
+                                         .otherwise(F.lag("_x").over(order)))
+    return per.select("_pid", "_offset", "_cont", "_head_start",
+                      *[F.col("_pl")[c].alias(f"_prev_{c}") for c in lags])
+
+
+def _sequenced(df: DataFrame, spec: Sequence[SortSpec], group: Sequence[str], lags: Sequence[str],
+               num_partitions: int | None) -> DataFrame:
+    """Rows sorted by ``spec`` (which starts with the ``group`` columns) with
+    ``_gpos`` (0-based global position), ``_start`` (global position where
+    the row's group starts) and ``_lag_<col>`` columns."""
+    ranged = range_sorted(df, spec, num_partitions, sequence=(list(group), list(lags)))
+    summary = _sequence_summary(ranged, group, lags)  # one row per range partition
+    out = ranged.join(F.broadcast(summary), "_pid")
+    out = out.withColumns({
+        "_gpos": F.col("_offset") + F.col("_pos"),
+        "_start": F.when(F.col("_head"), F.col("_head_start")).otherwise(F.col("_offset") + F.col("_gstart")),
+    })
+    first_of_range = F.col("_pos") == 0
+    for c in lags:
+        out = out.withColumn(f"_lag_{c}", F.when(first_of_range, F.when(F.col("_cont"), F.col(f"_prev_{c}")))
+                                           .otherwise(F.col(f"_lag_{c}")))
+    return out.drop("_pid", "_pos", "_offset", "_cont", "_head_start", "_gstart", "_head",
+                    *[f"_prev_{c}" for c in lags])
+
+
 def with_global_rank(df: DataFrame, value: Sequence[SortSpec], tiebreak: Sequence[SortSpec], name: str,
                      num_partitions: int | None = None) -> DataFrame:
     """``rank() over (order by value)``: 1 + number of rows strictly before.
 
-    Rows are numbered in (value, tiebreak) order; the rank of a row is the
-    number of the first row holding its value. That minimum is a grouped
-    aggregate (map-side combined, so a heavily tied value is cheap) joined
-    back on the value.
+    Rows are placed in (value, tiebreak) order; the rank of a row is one
+    more than the position where its run of equal values starts. A run of
+    ties spanning many ranges (a value shared by a third of all rows) is
+    resolved through the per-range summary, not gathered anywhere.
     """
-    numbered = with_global_row_number(df, list(value) + list(tiebreak), "_g", num_partitions=num_partitions)
-    keys = [c for c, _ in value]
-    first = numbered.groupBy(*keys).agg(F.min("_g").alias(name))
-    return join_on_keys(numbered, first, keys).withColumn(name, F.col(name).cast("int")).drop("_g")
+    seq = _sequenced(df, list(value) + list(tiebreak), [c for c, _ in value], [], num_partitions)
+    return seq.withColumn(name, (F.col("_start") + F.lit(1)).cast("int")).drop("_gpos", "_start")
 
 
 def with_group_sequence(df: DataFrame, group: Sequence[str], order: Sequence[SortSpec],
@@ -161,28 +279,17 @@ def with_group_sequence(df: DataFrame, group: Sequence[str], order: Sequence[Sor
                         num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` and ``lag(col)`` over ``partition by group order by ...``.
 
-    Skew-safe: a group holding a third of all rows is spread across ranges
-    instead of one window partition. ``order`` must make rows unique within
-    a group. ``lags`` maps a source column to the output name of its lag.
+    Skew-safe and with a single shuffle: rows are range-sorted by (group,
+    order) — a group holding a third of all rows spreads over many ranges —
+    and one pass per range finds group starts and previous rows; groups and
+    lags that cross a range boundary are settled through the per-range
+    summary. ``order`` must make rows unique within a group. ``lags`` maps
+    a source column to the output name of its lag.
     """
     lags = lags or {}
     spec = [(g, True) for g in group] + list(order)
-    numbered = with_global_row_number(df, spec, "_g", num_partitions=num_partitions)
-    starts = numbered.groupBy(*group).agg(F.min("_g").alias("_g0"))
-    out = (join_on_keys(numbered, starts, list(group))
-                   .withColumn(number_name, (F.col("_g") - F.col("_g0") + F.lit(1)).cast("int")))
-    if lags:
-        prev = numbered.select(
-            (F.col("_g") + F.lit(1)).alias("_g"),
-            *[F.col(g).alias(f"_prev_{g}") for g in group],
-            *[F.col(src).alias(f"_lag_{src}") for src in lags],
-        )
-        out = out.join(prev, "_g", "left")
-        same = None
-        for g in group:
-            eq = F.col(f"_prev_{g}").eqNullSafe(F.col(g))
-            same = eq if same is None else (same & eq)
-        for src, alias in lags.items():
-            out = out.withColumn(alias, F.when(same, F.col(f"_lag_{src}")))
-        out = out.drop(*[f"_prev_{g}" for g in group], *[f"_lag_{src}" for src in lags])
-    return out.drop("_g", "_g0")
+    seq = _sequenced(df, spec, group, list(lags), num_partitions)
+    seq = seq.withColumn(number_name, (F.col("_gpos") - F.col("_start") + F.lit(1)).cast("int"))
+    for src, alias in lags.items():
+        seq = seq.withColumnRenamed(f"_lag_{src}", alias)
+    return seq.drop("_gpos", "_start")
