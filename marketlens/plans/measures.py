@@ -36,14 +36,17 @@ def _div(a, b):
 
 
 def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
-             names: Sequence[str] | None = None) -> DataFrame:
+             names: Sequence[str] | None = None, extra_sums: dict | None = None) -> DataFrame:
     """All report measures per ``by`` group.
 
     ``df`` is at order grain (one row per order). ``period`` names the
     column among ``by`` that Revenue PY shifts: ``"month_label"``
-    ('yyyy-MM') or ``"year"``; without it PY is not computed.
+    ('yyyy-MM') or ``"year"``; without it PY is not computed. ``extra_sums``
+    maps an output name to a per-order Column that is summed in the same
+    two aggregations.
     """
     by = list(by)
+    extra_sums = dict(extra_sums or {})
     per_customer = df.groupBy(*by, "customer_id").agg(
         F.count("order_id").alias("n"),
         F.sum("revenue").alias("rev"),
@@ -51,7 +54,8 @@ def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
         F.sum("delivery_delay_days").alias("delay_sum"), F.count("delivery_delay_days").alias("delay_n"),
         F.count(F.when(F.col("is_late") == 1, F.col("order_id"))).alias("late"),
         F.sum("review_score").alias("score_sum"), F.count("review_score").alias("score_n"),
-        F.count(F.when(F.col("review_score") <= 2, F.col("order_id"))).alias("low"))
+        F.count(F.when(F.col("review_score") <= 2, F.col("order_id"))).alias("low"),
+        *[F.sum(e).alias(k) for k, e in extra_sums.items()])
     agg = per_customer.groupBy(*by).agg(
         F.sum("rev").alias("rev"), F.sum("n").alias("orders"), F.sum("items").alias("total_items"),
         F.count("customer_id").alias("customers"),
@@ -59,7 +63,8 @@ def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
         F.sum("delay_sum").alias("delay_sum"), F.sum("delay_n").alias("delay_n"),
         F.sum("late").alias("late_orders"),
         F.sum("score_sum").alias("score_sum"), F.sum("score_n").alias("score_n"),
-        F.sum("low").alias("low_review_orders"))
+        F.sum("low").alias("low_review_orders"),
+        *[F.sum(k).alias(k) for k in extra_sums])
     if period:
         # value of the same grain exactly one period earlier: a RANGE frame
         # on a period index over the (small) aggregate, null on a gap
@@ -88,9 +93,10 @@ def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
         (_div("low_review_orders", "orders") * 100).alias("low_review_share_pct"),
         F.col("rev_py").cast("double").alias("revenue_py"),
         (_div(F.col("rev") - F.col("rev_py"), "rev_py") * 100).alias("revenue_yoy_pct"),
+        *list(extra_sums),
     )
     if names:
-        out = out.select(*by, *names)
+        out = out.select(*by, *names, *list(extra_sums))
     return out
 
 

@@ -59,31 +59,24 @@ def kpi_cards(t, year: int | None = None, states=None) -> DataFrame:
 
     Revenue PY shifts the whole date selection back one year: with a year
     slicer it is the year before; without one it is the revenue of orders
-    placed up to one year before the last purchase date.
+    placed up to one year before the last purchase date. That date is one
+    scalar from a scan of the purchase timestamps alone; PY is then a
+    conditional sum in the same rollup as the other cards.
     """
     fo = _orders(t, year, states)
-    m = M.measures(fo)
-    if year is not None:
-        prior = _orders(t, year - 1, states)
-    else:
-        # per purchase day first (bounded by the calendar), then the shift
-        daily = (fo.groupBy(F.to_date("order_purchase_ts").alias("d"))
-                 .agg(F.sum("revenue").alias("rev")))
-        last = F.max("d").over(Window.partitionBy())  # over the per-day series only
-        prior_rev = (daily.withColumn("_last", last)
-                     .agg(F.sum(F.when(F.col("d") <= F.add_months("_last", -12), F.col("rev"))).alias("rev_py")))
-        return _cards(m, prior_rev)
-    return _cards(m, prior.agg(F.sum("revenue").alias("rev_py")))
-
-
-def _cards(m: DataFrame, prior_rev: DataFrame) -> DataFrame:
-    """Put the one-row measures and the one-row prior revenue side by side:
-    a union of the two rows collapsed by a max per column (no join)."""
     cols = ["total_revenue", "orders", "avg_order_value", "customers", "repeat_rate_pct", "avg_review_score"]
-    both = (m.select(*cols).unionByName(prior_rev.select("rev_py"), allowMissingColumns=True)
-            .agg(*[F.max(c).alias(c) for c in cols + ["rev_py"]]))
+    if year is None:
+        last_day = fo.agg(F.max(F.to_date("order_purchase_ts"))).first()[0]  # a single value
+        cutoff = F.add_months(F.lit(last_day).cast("date"), -12)
+        in_py = F.to_date("order_purchase_ts") <= cutoff
+        both = M.measures(fo, names=cols, extra_sums={"rev_prior": F.when(in_py, F.col("revenue"))})
+    else:
+        prior = _orders(t, year - 1, states).agg(F.sum("revenue").alias("rev_prior"))
+        # two one-row results side by side: union, then one max per column (no join)
+        both = (M.measures(fo, names=cols).unionByName(prior, allowMissingColumns=True)
+                .agg(*[F.max(c).alias(c) for c in cols + ["rev_prior"]]))
     rev = F.col("total_revenue")
-    py = F.col("rev_py").cast("double")
+    py = F.col("rev_prior").cast("double")
     return both.select(
         "total_revenue",
         (F.try_divide(rev - py, py) * 100).alias("revenue_yoy_pct"),
