@@ -207,3 +207,14 @@ def test_payment_method_by_month_wide(t):
     w = by(report.payment_method_by_month(t, wide=True), "payment_type")
     assert w["credit_card"]["2017-01"] == 100.0 and w["credit_card"]["2017-03"] == 22.0
     assert w["boleto"]["2017-01"] is None
+
+
+def test_reports_on_a_written_star(spark, t, tmp_dir):
+    """The documented flow: write the star once, read it back, run reports on it."""
+    warehouse.write_star(t, tmp_dir)
+    star = Tables.from_parquet(spark, tmp_dir)
+    assert set(schemas.STAR) <= {n for n in schemas.STAR if n in star}
+    cats = by(report.top_categories(star, n=8, year=2017), "category_en")
+    assert cats["health_beauty"]["revenue"] == 198.0
+    k = {r.kpi: r.value for r in measures.dashboard_kpis(star).collect()}
+    assert k["total_revenue"] == 275.0
