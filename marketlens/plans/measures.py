@@ -144,13 +144,19 @@ def dashboard_kpis(t, statuses: Sequence[str] = ("delivered",)) -> DataFrame:
         F.sum("is_late").alias("late"),
         F.sum("review_score").alias("score_sum"), F.count("review_score").alias("score_n"),
         F.count_if(F.col("review_score") <= 2).alias("low")))
-    tot = per_customer.agg(
+    # customers -> their state (one row per state: bounded), then one global
+    # aggregate gives every order-grain KPI and the top-state share together
+    states = t.dim_customer.select("customer_id", "customer_state")
+    per_state = (per_customer.join(states, "customer_id", "left").groupBy("customer_state").agg(
         F.sum("paid").alias("paid"), F.sum("n").alias("orders"), F.sum("items").alias("items"),
         F.count("customer_id").alias("customers"),
         F.count_if(F.col("customer_id").isNotNull() & (F.col("n") >= 2)).alias("repeat"),
         F.sum("delay_sum").alias("delay_sum"), F.sum("delay_n").alias("delay_n"),
         F.sum("late").alias("late"), F.sum("score_sum").alias("score_sum"),
-        F.sum("score_n").alias("score_n"), F.sum("low").alias("low"))
+        F.sum("score_n").alias("score_n"), F.sum("low").alias("low"), F.sum("rev").alias("rev")))
+    tot = per_state.agg(*[F.sum(c).alias(c) for c in (
+        "paid", "orders", "items", "customers", "repeat", "delay_sum", "delay_n", "late",
+        "score_sum", "score_n", "low", "rev")], F.max("rev").alias("top_rev"))
     order_kpis = tot.select(F.explode(F.array(
         F.struct(*_kpi("total_revenue", F.col("paid"))),
         F.struct(*_kpi("orders", F.col("orders"))),
@@ -161,6 +167,7 @@ def dashboard_kpis(t, statuses: Sequence[str] = ("delivered",)) -> DataFrame:
         F.struct(*_kpi("late_delivery_share_pct", _div("late", "orders") * 100)),
         F.struct(*_kpi("avg_review_score", _div("score_sum", "score_n"))),
         F.struct(*_kpi("low_review_share_pct", _div("low", "score_n") * 100)),
+        F.struct(*_kpi("top_state_share_pct", _div("top_rev", "rev") * 100)),
     )).alias("k")).select("k.*")
     keys = fo.select("order_id")
     # 10: largest category's share of item revenue (items pre-aggregated per product)
@@ -169,10 +176,6 @@ def dashboard_kpis(t, statuses: Sequence[str] = ("delivered",)) -> DataFrame:
     per_cat = (items.join(t.dim_product.select("product_id", "category_en"), "product_id", "left")
                .groupBy("category_en").agg(F.sum("rev").alias("rev")))
     top_cat = per_cat.agg(*_kpi("top_category_share_pct", _div(F.max("rev"), F.sum("rev")) * 100))
-    # 11: largest customer state's share of order revenue (from the same per-customer rollup)
-    per_state = (per_customer.join(t.dim_customer.select("customer_id", "customer_state"), "customer_id", "left")
-                 .groupBy("customer_state").agg(F.sum("rev").alias("rev")))
-    top_state = per_state.agg(*_kpi("top_state_share_pct", _div(F.max("rev"), F.sum("rev")) * 100))
     # 12: Shannon entropy (bits) of the orders-per-method mix
     per_method = (t.fact_payments.join(keys, "order_id", "left_semi")
                   .filter(F.col("payment_type").isNotNull())
@@ -181,4 +184,4 @@ def dashboard_kpis(t, statuses: Sequence[str] = ("delivered",)) -> DataFrame:
     share = F.col("n") / F.sum("n").over(Window.partitionBy())  # one row per payment method
     entropy = (per_method.select(share.alias("p"))
                .agg(*_kpi("payment_mix_entropy", -F.sum(F.col("p") * F.log2("p")))))
-    return order_kpis.unionByName(top_cat).unionByName(top_state).unionByName(entropy)
+    return order_kpis.unionByName(top_cat).unionByName(entropy)
