@@ -1,4 +1,5 @@
 from marketlens.operators.ranking import (  # noqa: F401
-    ntile_of, range_offsets, range_sorted, with_global_ntile, with_global_rank,
-    with_global_row_number, with_group_sequence,
+    join_on_keys, materialize_small, ntile_of, range_offsets, range_sorted, with_global_ntile,
+    with_global_rank, with_global_row_number, with_group_sequence,
 )
+from marketlens.operators.quantiles import quantiles, running_counts, value_counts  # noqa: F401
