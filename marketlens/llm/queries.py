@@ -6,11 +6,13 @@ from marketlens.llm.decontamination import op9_decontamination
 from marketlens.llm.language_id import op7_language_id
 from marketlens.llm.packing import op8_length_buckets
 from marketlens.llm.quality_rules import op3_quality_rules
+from marketlens.llm.substring_dedup import op4_substring_dedup
+from marketlens.llm.suffix_array_dedup import op10_suffix_array_dedup
 from marketlens.llm.token_counts import op1_token_counts
 from marketlens.llm.warc import op6_warc_index
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op3_quality_rules, op6_warc_index, op7_language_id, op8_length_buckets,
-    op9_decontamination)}
+    op1_token_counts, op3_quality_rules, op4_substring_dedup, op6_warc_index, op7_language_id,
+    op8_length_buckets, op9_decontamination, op10_suffix_array_dedup)}
 
 ORACLES: dict[str, str] = {}
