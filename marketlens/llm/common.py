@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketlens.session import ensure_checkpoint_dir
 
@@ -65,14 +66,32 @@ def _drop(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Paths that `materialize` has written.
+written: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and a
     lost executor loses nothing of it."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Drop tables of `materialize` that no result needs any more."""
+    for path in paths:
+        _drop(spark, path)
+        written.remove(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """``df`` written out, and hinted for broadcast only if it has at most ``max_rows`` rows."""
+    done = materialize(df, "side")
+    return F.broadcast(done) if done.limit(max_rows + 1).count() <= max_rows else done
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, wherever the driver was started."""
     sc = spark.sparkContext
@@ -90,7 +109,12 @@ def ship(spark: SparkSession) -> None:
     sc._marketlens_shipped = True
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
+def out_schema(df: DataFrame, keep, more: str) -> StructType:
+    """The ``keep`` columns of ``df`` as they are, and those of the DDL ``more``."""
+    return StructType([df.schema[c] for c in keep] + StructType.fromDDL(more).fields)
+
+
+def arrow_map(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """`mapInArrow` with the package shipped and batches of few rows, so that a
     batch of long texts fits a worker."""
     spark = df.sparkSession

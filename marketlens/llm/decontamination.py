@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import (ALNUM_WORD, LOWER, arrow_map, materialize, out_batch, table,
+from marketlens.llm.common import (ALNUM_WORD, LOWER, arrow_map, materialize, out_batch, out_schema, table,
                                    text_batches, word_hashes, word_spans)
 
 WINDOW = 13
@@ -239,8 +239,7 @@ def _scan(df: DataFrame, phrases: Phrases, keep: list[str], text_col: str) -> Da
             schema = pa.schema([*((c, x.type) for c, x in cols.items()), *own])
             yield out_batch(schema, **cols, n_words=np.diff(rows), spans=spans, items=items)
 
-    kept = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
-    return arrow_map(df, run, f"{kept}, n_words long, spans array<bigint>, items array<string>")
+    return arrow_map(df, run, out_schema(df, keep, "n_words long, spans array<bigint>, items array<string>"))
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
@@ -274,6 +273,13 @@ def contaminated(n_words: Column, hits: Column) -> Column:
     return (hits > 0) & (20 * hits >= n_words)
 
 
+def keep_clean(df: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that are not contaminated, as they are."""
+    rows = df.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text"))
+    found = decontaminate(rows, benchmark, ("_row",), "_text")
+    return found.where(~contaminated(F.col("n_words"), n_hit())).select("_row.*")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumn("n_hit", n_hit()).select(

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.llm.common import arrow_map, out_batch, table, text_batches
+from marketlens.llm.common import arrow_map, out_batch, out_schema, table, text_batches
 
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
@@ -80,8 +80,6 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_i
     langs = list(dictionaries)
     contents = [dictionaries[x] for x in langs]
     keep = [id_col, *extra]
-    kept = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         coders = []
@@ -111,7 +109,7 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_i
                             **cols, lang_pred=pred, score=score, rejected=score < min_score)
 
     return arrow_map(df.select(*keep, text_col), run,
-                     f"{kept}, lang_pred string, score double, rejected boolean")
+                     out_schema(df, keep, "lang_pred string, score double, rejected boolean"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.llm.common import PLAIN_WORD, arrow_map, materialize, out_batch, table, text_batches, word_spans
+from marketlens.llm.common import PLAIN_WORD, arrow_map, materialize, out_batch, out_schema, table, text_batches, word_spans
 
 
 def word_counts(df: DataFrame, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
@@ -37,8 +37,7 @@ def word_counts(df: DataFrame, keep: tuple[str, ...], text_col: str = "text") ->
             cols = {c: b.batch.column(c) for c in keep}
             yield out_batch(pa.schema([*((c, x.type) for c, x in cols.items()), ("n_tokens", pa.int64())]),
                             **cols, n_tokens=np.diff(words))
-    kept = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
-    return arrow_map(df.select(*keep, text_col), run, f"{kept}, n_tokens long")
+    return arrow_map(df.select(*keep, text_col), run, out_schema(df, keep, "n_tokens long"))
 
 
 def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:

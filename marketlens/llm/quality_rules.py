@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.llm.common import (PLAIN_WORD, arrow_map, materialize, out_batch, table,
+from marketlens.llm.common import (PLAIN_WORD, arrow_map, broadcast_if_small, materialize, out_batch, out_schema, table,
                                    text_batches, word_hashes, word_spans)
 
 SUB = 32  # linear steps in each power of two
@@ -74,7 +74,6 @@ def repeated_words(h: np.ndarray) -> int:
 def text_statistics(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
     names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
-    kept = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches, text_col):
@@ -95,7 +94,7 @@ def text_statistics(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
                 n_words=np.diff(words), word_chars=np.diff(lead[b.offsets]), n_symbols=np.diff(symbol[b.offsets]),
                 n_lines=lines, n_dup_lines=dup, n_repeat_words=rep)
 
-    return arrow_map(df.select(*keep, text_col), run, f"{kept}, " + ", ".join(f"{x} long" for x in names))
+    return arrow_map(df.select(*keep, text_col), run, out_schema(df, keep, ", ".join(f"{x} long" for x in names)))
 
 
 def bucket(value: Column) -> Column:
@@ -182,6 +181,19 @@ def quality_rules(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col:
     return judge(stats, fences(stats, ("_g0", "_g1"), **settings), ("_g0", "_g1")).drop("_g0", "_g1")
 
 
+def keep_good(df: DataFrame, text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``df`` that the rules keep, as they are.
+
+    The texts are read twice and never shuffled, unless there are too many groups
+    for a broadcast of the limits.
+    """
+    groups = (F.col("lang").alias("_g0"), F.col("source").alias("_g1"), F.col(text_col).alias("_text"))
+    limits = fences(materialize(text_statistics(df.select(*groups), "_text", ("_g0", "_g1")), "quality"),
+                    ("_g0", "_g1"), **settings)
+    stats = text_statistics(df.select(F.struct("*").alias("_row"), *groups), "_text", ("_row", "_g0", "_g1"))
+    return judge(stats, broadcast_if_small(limits), ("_g0", "_g1")).where("kept").select("_row.*")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import BASES, Block, arrow_map, materialize, mix, out_batch, text_batches
+from marketlens.llm.common import BASES, Block, arrow_map, materialize, mix, out_batch, out_schema, text_batches
 
 NO_ID = 2**63 - 1
 FLUSH = 500_000  # records gathered in a task before its classes are settled
@@ -431,14 +431,12 @@ def remove_repeats(df: DataFrame, plan: Plan, keep: tuple[str, ...], joiner: byt
     side = docs.select(*(F.col(c) for c in keep), F.col("_doc").alias("doc"), F.col("_disc").alias("disc"),
                        F.col("_t"))
     j = side.join(runs, ["doc", "disc"], "left").select(*keep, F.col("_t"), "runs")
-    kept = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches, "_t", plan.block_bytes):
             yield _stripped(b, plan, keep, joiner, as_text)
 
     kind = "string" if as_text else "binary"
-    return arrow_map(j, run, f"{kept}, n_units long, n_removed long, n_spans long, kept {kind}")
+    return arrow_map(j, run, out_schema(j, keep, f"n_units long, n_removed long, n_spans long, kept {kind}"))
 
 
 def _stripped(b: Block, plan: Plan, keep: tuple[str, ...], joiner: bytes, as_text: bool) -> pa.RecordBatch:

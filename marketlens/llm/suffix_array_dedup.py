@@ -97,6 +97,21 @@ def remove_repeated_bytes(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), id
     return remove_repeats(df, PLAN, keep, b"", id_col, text_col, as_text)
 
 
+def without_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` with their texts cut, as they are otherwise (n_chars, if there, follows the text).
+
+    A null text stays null; a text that is one repeat becomes empty.
+    """
+    others = [c for c in df.columns if c != text_col]
+    rows = df.select(F.struct(*others, F.col(text_col).isNull().alias("_none")).alias("_row"), F.col(id_col),
+                     F.col(text_col))
+    out = remove_repeated_bytes(rows, ("_row",), id_col, text_col, as_text=True)
+    text = F.when(~F.col("_row._none"), F.col("kept"))
+    value = {text_col: text, "n_chars": F.length(text).cast(df.schema["n_chars"].dataType)} if "n_chars" in others else {
+        text_col: text}
+    return out.select(*(value.get(c, F.col("_row")[c]).alias(c) for c in df.columns))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans",

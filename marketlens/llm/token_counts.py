@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import arrow_map, out_batch, table, text_batches
+from marketlens.llm.common import arrow_map, out_batch, out_schema, table, text_batches
 
 CHUNK = 512
 #: States kept by a worker before it starts compiling anew.
@@ -331,7 +331,7 @@ def transducer(model_path: str) -> Transducer:
 def token_counts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = 4096) -> DataFrame:
     """Id, n_bytes, n_tokens and over_limit of every row of ``df``."""
-    schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean"
+    schema = out_schema(df, [id_col], "n_bytes long, n_tokens long, over_limit boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = transducer(model_path)
