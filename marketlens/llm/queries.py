@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from marketlens.llm.decontamination import op9_decontamination
 from marketlens.llm.language_id import op7_language_id
+from marketlens.llm.license_scan import op2_license_scan
 from marketlens.llm.ngram_join import op5_ngram_jaccard
 from marketlens.llm.packing import op8_length_buckets
 from marketlens.llm.quality_rules import op3_quality_rules
@@ -13,7 +14,7 @@ from marketlens.llm.token_counts import op1_token_counts
 from marketlens.llm.warc import op6_warc_index
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op3_quality_rules, op4_substring_dedup, op5_ngram_jaccard, op6_warc_index,
-    op7_language_id, op8_length_buckets, op9_decontamination, op10_suffix_array_dedup)}
+    op1_token_counts, op2_license_scan, op3_quality_rules, op4_substring_dedup, op5_ngram_jaccard,
+    op6_warc_index, op7_language_id, op8_length_buckets, op9_decontamination, op10_suffix_array_dedup)}
 
 ORACLES: dict[str, str] = {}
