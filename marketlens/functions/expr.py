@@ -67,6 +67,12 @@ def money(c, digits: int = 2) -> Column:
     return F.round(col(c), digits).cast("double")
 
 
+def money_mean(total, count, digits: int = 2) -> Column:
+    """Rounded mean of an exact decimal sum: the quotient is taken at full
+    scale (``avg`` would round it first) and rounded once."""
+    return money(F.try_divide(col(total), col(count)), digits)
+
+
 def money_even(c, digits: int = 2) -> Column:
     """Round half to even (pandas' rule), output as double."""
     return F.bround(col(c), digits).cast("double")

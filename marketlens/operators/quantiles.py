@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.operators.ranking import join_on_keys, range_sorted
+from marketlens.operators.ranking import bounded_broadcast, join_on_keys, range_sorted
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -47,7 +47,8 @@ def running_counts(counts: DataFrame, value: str, by: Sequence[str] = ()) -> Dat
     if by:
         starts = cum.groupBy(*by).agg(F.min(F.col("_cum") - F.col("_w")).alias("_start"),
                                       F.sum("_w").alias("_n"))
-        cum = join_on_keys(cum, starts, by)
+        # one row per group; with few groups no value is shuffled to its group's key
+        cum = join_on_keys(cum, bounded_broadcast(starts), by)
     else:
         # a single group: it starts at 0 and its size is the grand total
         cum = cum.withColumn("_start", F.lit(0).cast("long")).withColumnRenamed("_total", "_n")

@@ -29,12 +29,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from marketlens.session import ensure_checkpoint_dir
 
@@ -50,25 +46,12 @@ def _sort_cols(specs: Sequence[SortSpec]) -> list[Column]:
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null matches null (group keys may be null)."""
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],  # a broadcast hint stays
                            *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _running_sum_in_partition(column: str, out: str):
-    """Per-partition running sum in row order, carried across Arrow batches."""
-    def run(batches):
-        carry = 0
-        for pdf in batches:
-            cum = pdf[column].cumsum() + carry
-            if len(cum):
-                carry = int(cum.iloc[-1])
-            pdf[out] = cum
-            yield pdf
-    return run
-
-
 def materialize_small(df: DataFrame) -> DataFrame:
     """Checkpoint a small aggregate (bounded by the calendar or a category
     list) before something reads it twice, e.g. a pivot that must first
@@ -77,56 +60,22 @@ def materialize_small(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _same_as_previous(values: list, carry: tuple | None) -> np.ndarray:
-    """Per row: does it share the group key of the row before it (nulls equal)?"""
-    n = len(values[0])
-    same = np.ones(n, dtype=bool)
-    for i, v in enumerate(values):
-        prev = v.shift(1)
-        if carry is not None:
-            prev.iloc[0] = carry[i]
-        same &= ((v == prev) | (v.isna() & prev.isna())).to_numpy()
-    if carry is None:
-        same[0] = False  # the first row of a range opens a group
-    return same
-
-
-def _sequence_in_partition(group: list[str], lags: list[str]):
-    """One pass over a sorted range: for every row the local position where
-    its group starts (``_gstart``), whether it belongs to the group the range
-    opens with (``_head``, which may have started in an earlier range), and
-    the previous row's values inside its group (``_lag_<col>``)."""
-    def run(batches):
-        carry_key = carry_lag = None
-        carry_start, in_head = 0, True
-        for pdf in batches:
-            if len(pdf) == 0:
-                yield pdf.assign(_gstart=pd.Series(dtype="int64"), _head=pd.Series(dtype=bool),
-                                 **{f"_lag_{c}": pd.Series(dtype=object) for c in lags})
-                continue
-            keys = [pdf[c].astype(object) for c in group]
-            new = ~_same_as_previous(keys, carry_key)
-            pos = pdf["_pos"].to_numpy()
-            starts = np.where(new, pos, -1)
-            if not new[0]:
-                starts[0] = carry_start
-            starts = np.maximum.accumulate(starts)  # positions only grow: a forward fill
-            opened = new.copy()
-            if carry_key is None:
-                opened[0] = False  # the range's own first row does not end its head group
-            head = in_head & (np.cumsum(opened) == 0)
-            out = {"_gstart": starts.astype("int64"), "_head": head}
-            for c in lags:
-                v = pdf[c].astype(object)
-                prev = v.shift(1)
-                prev.iloc[0] = None if carry_lag is None else carry_lag[c]
-                prev[new] = None
-                out[f"_lag_{c}"] = prev
-            carry_key = tuple(k.iloc[-1] for k in keys)
-            carry_lag = {c: pdf[c].astype(object).iloc[-1] for c in lags}
-            carry_start, in_head = int(starts[-1]), bool(head[-1])
-            yield pdf.assign(**out)
-    return run
+def _with_sequence(tagged: DataFrame, group: Sequence[str], lags: Sequence[str]) -> DataFrame:
+    """For every row of a range the local position where its group starts
+    (``_gstart``), whether it belongs to the group the range opens with
+    (``_head``, which may have started in an earlier range), and the previous
+    row's values inside its group (``_lag_<col>``). Nulls are equal as keys."""
+    at = Window.partitionBy("_pid").orderBy("_pos")
+    upto = at.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opens = F.col("_pos") == 0
+    same = F.lit(True)
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.lag(c).over(at))
+    marked = tagged.withColumn("_new", opens | ~same)
+    out = {"_gstart": F.last(F.when(F.col("_new"), F.col("_pos")), ignorenulls=True).over(upto),
+           "_head": F.max((F.col("_new") & ~opens).cast("int")).over(upto) == 0}
+    out |= {f"_lag_{c}": F.when(~F.col("_new"), F.lag(c).over(at)) for c in lags}
+    return marked.withColumns(out).drop("_new")
 
 
 def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int | None = None,
@@ -135,10 +84,10 @@ def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int |
 
     With ``running_sum`` (a non-negative integer column) each row also gets
     ``_cum_local``: the running sum of that column inside its range, in sort
-    order. With ``sequence=(group_cols, lag_cols)`` each row gets the
-    group-start and lag columns of `_sequence_in_partition`. The rows of a
-    range are already together and sorted, so either is one Arrow-batched
-    pass over each partition (no second shuffle or sort).
+    order. With ``sequence=(group_cols, lag_cols)`` each row gets the columns
+    of `_with_sequence`. Both are windows over one range at a time, whatever
+    the size of a group; they stay in the JVM, so 64-bit keys and decimals
+    keep their values beside nulls and the workers need no package.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -149,19 +98,21 @@ def range_sorted(df: DataFrame, order: Sequence[SortSpec], num_partitions: int |
                 .withColumn("_pos", F.monotonically_increasing_id()
                             - F.col("_pid").cast("long") * F.lit(_POS_SHIFT)))
     if running_sum:
-        schema = StructType(tagged.schema.fields + [StructField("_cum_local", LongType(), False)])
-        tagged = tagged.mapInPandas(_running_sum_in_partition(running_sum, "_cum_local"), schema)
+        upto = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        tagged = tagged.withColumn("_cum_local", F.sum(running_sum).over(upto))
     if sequence:
-        group, lags = list(sequence[0]), list(sequence[1])
-        types = {f.name: f.dataType for f in tagged.schema.fields}
-        schema = StructType(tagged.schema.fields + [StructField("_gstart", LongType(), False),
-                                                    StructField("_head", BooleanType(), False)]
-                            + [StructField(f"_lag_{c}", types[c], True) for c in lags])
-        tagged = tagged.mapInPandas(_sequence_in_partition(group, lags), schema)
+        tagged = _with_sequence(tagged, *sequence)
     ensure_checkpoint_dir(spark)
     return tagged.checkpoint(eager=True)
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``df`` checkpointed, and hinted for broadcast only if it turns out to
+    have at most ``max_rows`` rows."""
+    done = materialize_small(df)
+    return F.broadcast(done) if done.limit(max_rows + 1).count() <= max_rows else done
+
+
 def range_offsets(ranged: DataFrame) -> DataFrame:
     """One row per range: rows before it (``_offset``) and overall (``_total``)."""
     per_range = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
