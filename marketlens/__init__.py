@@ -8,7 +8,6 @@ Layout:
               window, exact quantiles, skew-safe per-group sequence numbering)
   plans/      the analyses themselves: shop SQL pack, sales EDA, warehouse
               ETL, KPIs and report measures, report datasets
-  streaming/  nothing: the analyses are batch only
 """
 
 from marketlens.sources.tables import Tables

@@ -25,13 +25,19 @@ def decimals_as_double(fn):
     return run
 
 
+# columns of the pivoted results over the driver's data; a value outside is an error
+COHORT_OFFSETS = list(range(84))
+SALES_YEARS = list(range(1995, 2002))
+SALES_CHANNELS = ["Online", "In-store"]
+SALES_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     # --- shop SQL pack
     "monthly_revenue": shop.monthly_revenue,
     "top_products_margin": shop.top_products_margin,
     "customer_ltv": shop.customer_ltv,
     "cohort_retention": shop.cohort_retention,
-    "cohort_retention_matrix": shop.cohort_retention_matrix,
+    "cohort_retention_matrix": lambda t: shop.cohort_retention_matrix(t, offsets=COHORT_OFFSETS),
     "rfm_segments": shop.rfm_segments,
     "rfm_segment_counts": shop.rfm_segment_counts,
     "first_vs_repeat": shop.first_vs_repeat,
@@ -47,10 +53,10 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "sales_kpis": lambda t: eda.sales_kpis(t, focus_category="PROMO"),
     "monthly_trend": eda.monthly_trend,
     "revenue_by_category": eda.revenue_by_category,
-    "seasonality_matrix": eda.seasonality_matrix,
-    "channel_by_month": eda.channel_by_month,
+    "seasonality_matrix": lambda t: eda.seasonality_matrix(t, years=SALES_YEARS),
+    "channel_by_month": lambda t: eda.channel_by_month(t, channels=SALES_CHANNELS),
     "revenue_distribution": eda.revenue_distribution,
-    "region_by_category": eda.region_by_category,
+    "region_by_category": lambda t: eda.region_by_category(t, categories=SALES_CATEGORIES),
     # --- warehouse ETL
     "dim_date": warehouse.dim_date,
     "customer_cohort": warehouse.customer_cohort,

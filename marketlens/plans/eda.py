@@ -1,7 +1,8 @@
 """Exploratory analysis of flat sales transactions.
 
 Input: ``t.sales`` (date, category, region, channel, unit_price, quantity,
-revenue). Rounding follows pandas (half to even, ``bround``); money sums
+revenue). Rows whose group key is null take no part in a grouped result, as in
+pandas. Rounding follows pandas (half to even, ``bround``); money sums
 are exact decimals. Every grouped result is aggregated first and only the
 small aggregate meets a window, a pivot or a grand total.
 """
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
 from marketlens.operators import quantiles as Q
-from marketlens.operators.ranking import materialize_small
+from marketlens.operators.pivot import pivot
+from marketlens.operators.ranking import bounded_broadcast
 
-# fixed values: Q4 months and the two sales channels, as the analysis names them
+# fixed values: Q4 months, as the analysis names them
 Q4_MONTHS = (10, 11, 12)
-CHANNELS = ("Online", "In-store")
 DESCRIBE_COLUMNS = ("unit_price", "quantity", "revenue")
 
 
@@ -57,32 +58,29 @@ def sales_describe(t) -> DataFrame:
     """count, mean, std, min, quartiles, max of the numeric columns, rounded
     to 2 decimals (half to even). Quartiles are exact and distributed.
 
-    The three columns are stacked into (column_name, value) and counted per
-    distinct value once; that checkpointed table feeds the moments, the
-    deviations and the quartiles, so the source is read a single time.
+    Moments and extremes come from one pass of plain aggregates (the standard
+    deviation from Spark's merging of centred moments); the quartiles from the
+    counted distinct values of the three columns.
     """
-    long = t.sales.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-        for c in DESCRIBE_COLUMNS])).alias("v")).select("v.*")
-    ranks = Q.running_counts(Q.value_counts(long, "value", ["column_name"]), "value", ["column_name"])
-    w, v = F.col("_w"), F.col("value")
-    # quartiles and moments in one pass over the (value, count) rows
-    stats = Q.quantiles_from_ranks(
-        ranks, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by=["column_name"],
-        extra=[F.sum(w).alias("count"), F.sum(v * w).alias("s1"), F.sum(v * v * w).alias("s2"),
-               F.min(v).alias("min"), F.max(v).alias("max")])
-    n = F.col("count")
-    mean = F.col("s1") / n
-    var = F.try_divide(F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / n, F.lit(0.0)), (n - 1).cast("double"))
-    r = lambda c, name: F.bround(c, 2).alias(name)
-    return (stats.select("column_name", "count", r(mean, "mean"), r(F.sqrt(var), "std"), r(F.col("min"), "min"),
-                         r(F.col("q25"), "q25"), r(F.col("q50"), "q50"), r(F.col("q75"), "q75"),
-                         r(F.col("max"), "max"))
+    s = t.sales
+    value = {c: F.col(c).cast("double") for c in DESCRIBE_COLUMNS}
+    row = s.agg(*[f(v).alias(f"{c}_{n}") for c, v in value.items() for n, f in (
+        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
+    moments = row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), *[F.col(f"{c}_{n}").alias(n) for n in ("count", "mean", "std", "min", "max")])
+        for c in DESCRIBE_COLUMNS])).alias("m")).select("m.*")
+    long = s.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), v.alias("value")) for c, v in value.items()])).alias("v")).select("v.*")
+    quarts = Q.quantiles(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by=["column_name"])
+    r = lambda c: F.bround(c, 2).alias(c)
+    return (moments.join(quarts, moments["name"] == quarts["column_name"], "left")
+            .select(F.col("name").alias("column_name"), "count",
+                    *map(r, ("mean", "std", "min", "q25", "q50", "q75", "max")))
             .orderBy("column_name"))
 
 
 def _by_category(t) -> DataFrame:
-    return (t.sales.groupBy("category")
+    return (t.sales.where(F.col("category").isNotNull()).groupBy("category")
             .agg(F.sum("revenue").alias("rev"), F.count("revenue").alias("n")))
 
 
@@ -119,7 +117,7 @@ def sales_kpis(t, focus_category: str = "Electronics") -> DataFrame:
 
 def monthly_trend(t) -> DataFrame:
     """Revenue per month and its 3-month rolling mean (partial at the start)."""
-    per = (t.sales.groupBy(X.month_label("date").alias("month_label"))
+    per = (t.sales.where(F.col("date").isNotNull()).groupBy(X.month_label("date").alias("month_label"))
            .agg(F.sum("revenue").alias("rev")))
     w = Window.orderBy("month_label").rowsBetween(-2, 0)  # per-month series: small
     return (per.select(
@@ -138,21 +136,24 @@ def revenue_by_category(t) -> DataFrame:
     ).orderBy(F.col("revenue").desc(), "category"))
 
 
-def seasonality_matrix(t) -> DataFrame:
-    """Calendar month (Jan..Dec) x one column per year, revenue summed."""
-    per = (t.sales.groupBy(F.month("date").alias("month"), F.year("date").alias("year"))
+def seasonality_matrix(t, years=None) -> DataFrame:
+    """Calendar month (Jan..Dec) x one column per year, revenue summed.
+
+    ``years`` declares the columns (`pivot`)."""
+    per = (t.sales.where(F.col("date").isNotNull())
+           .groupBy(F.month("date").alias("month"), F.year("date").alias("year"))
            .agg(F.sum("revenue").cast("double").alias("revenue")))
-    # months x years: small; materialized so the pivot's year scan reads it, not the sales
-    wide = materialize_small(per).groupBy("month").pivot("year").agg(F.first("revenue"))
+    wide = pivot(per, "month", "year", F.first("revenue"), years)
     return (wide.withColumn("month_name", F.date_format(F.make_date(F.lit(2000), F.col("month"), F.lit(1)), "MMM"))
                 .orderBy("month"))
 
 
-def channel_by_month(t) -> DataFrame:
-    """Month x channel revenue."""
-    per = (t.sales.groupBy(X.month_label("date").alias("month_label"), "channel")
+def channel_by_month(t, channels=None) -> DataFrame:
+    """Month x channel revenue; ``channels`` declares the columns (`pivot`)."""
+    per = (t.sales.where(F.col("date").isNotNull())
+           .groupBy(X.month_label("date").alias("month_label"), "channel")
            .agg(F.sum("revenue").cast("double").alias("revenue")))
-    return per.groupBy("month_label").pivot("channel", list(CHANNELS)).agg(F.first("revenue")).orderBy("month_label")
+    return pivot(per, "month_label", "channel", F.first("revenue"), channels).orderBy("month_label")
 
 
 def revenue_distribution(t) -> DataFrame:
@@ -161,7 +162,7 @@ def revenue_distribution(t) -> DataFrame:
     Quartiles are exact; whiskers are the most extreme values inside the
     fences and outliers count the rows beyond them.
     """
-    s = t.sales.select("category", F.col("revenue").cast("double").alias("value"))
+    s = t.sales.where(F.col("category").isNotNull()).select("category", F.col("revenue").cast("double").alias("value"))
     ranks = Q.running_counts(Q.value_counts(s, "value", ["category"]), "value", ["category"])
     quarts = Q.quantiles_from_ranks(ranks, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"],
                                     by=["category"], digits=4)
@@ -170,7 +171,7 @@ def revenue_distribution(t) -> DataFrame:
                            (F.col("q3") + F.lit(1.5) * iqr).alias("hi_fence"))
     inside = F.col("value").between(F.col("lo_fence"), F.col("hi_fence"))
     # box statistics from the checkpointed (category, value, count) table
-    stats = (ranks.join(fences, "category")
+    stats = (ranks.join(bounded_broadcast(fences), "category")
              .groupBy("category", "q1", "median", "q3")
              .agg(F.sum("_w").alias("count"),
                   F.min("value").alias("min"), F.max("value").alias("max"),
@@ -181,12 +182,13 @@ def revenue_distribution(t) -> DataFrame:
                         "whisker_low", "whisker_high", "outliers").orderBy(F.col("median").desc(), "category")
 
 
-def region_by_category(t) -> DataFrame:
-    """Region x category revenue, missing cells 0, regions by total desc."""
-    per = (t.sales.groupBy("region", "category")
+def region_by_category(t, categories=None) -> DataFrame:
+    """Region x category revenue, missing cells 0, regions by total desc.
+
+    ``categories`` declares the columns (`pivot`)."""
+    per = (t.sales.where(F.col("region").isNotNull()).groupBy("region", "category")
            .agg(F.sum("revenue").cast("double").alias("revenue")))
-    # regions x categories: small; materialized for the pivot's value scan
-    wide = materialize_small(per).groupBy("region").pivot("category").agg(F.first("revenue")).fillna(0.0)
+    wide = pivot(per, "region", "category", F.first("revenue"), categories).fillna(0.0)
     cats = [c for c in wide.columns if c != "region"]
     total = sum((F.col(f"`{c}`") for c in cats), F.lit(0.0))
     return wide.withColumn("_total", total).orderBy(F.col("_total").desc(), "region").drop("_total")

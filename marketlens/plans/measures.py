@@ -104,7 +104,12 @@ def order_frame(t, year: int | None = None, states: Sequence[str] | None = None)
     """fact_orders in the slicer scope, with month_label and year added."""
     fo = t.fact_orders
     if year is not None:
-        fo = fo.filter(F.year("order_purchase_ts") == year)
+        # a range of the timestamp reaches the scan; the month bounds prune
+        # whole folders of a star written by `warehouse.write_star`
+        start = lambda y: F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz")
+        fo = fo.filter((F.col("order_purchase_ts") >= start(year)) & (F.col("order_purchase_ts") < start(year + 1)))
+        if "order_month" in fo.columns:
+            fo = fo.filter(F.col("order_month").between(f"{year:04d}-01", f"{year:04d}-12"))
     if states:
         in_states = t.dim_customer.filter(F.col("customer_state").isin(*states)).select("customer_id")
         fo = fo.join(in_states, "customer_id", "left_semi")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
 from marketlens.operators import ranking
+from marketlens.operators.pivot import pivot
 
 COMPLETED = "completed"
 
@@ -51,7 +52,7 @@ def monthly_revenue(t) -> DataFrame:
     return (lines.groupBy("month")
             .agg(F.count_distinct("order_id").alias("total_orders"),
                  X.money(F.sum("line_revenue")).alias("gross_revenue"),
-                 X.money(F.avg("line_revenue")).alias("avg_order_value"))
+                 X.money_mean(F.sum("line_revenue"), F.count("line_revenue")).alias("avg_order_value"))
             .orderBy("month"))
 
 
@@ -90,69 +91,61 @@ def _customer_spend(t) -> DataFrame:
 
 def customer_ltv(t) -> DataFrame:
     """Spend per customer, ranked by the rounded lifetime value (RANK, ties share)."""
-    spend = _customer_spend(t)
-    c = t.customers.select("customer_id", "name", "city", "signup_date")
-    base = (c.join(spend, "customer_id")
-            .withColumn("lifetime_value", F.round("spend", 2)))
-    ranked = ranking.with_global_rank(base, value=[("lifetime_value", False)],
+    spend = _customer_spend(t).withColumn("lifetime_value", F.round("spend", 2)).drop("spend")
+    known = spend.join(t.customers.select("customer_id"), "customer_id", "left_semi")
+    ranked = ranking.with_global_rank(known, value=[("lifetime_value", False)],
                                       tiebreak=[("customer_id", True)], name="ltv_rank")
-    return (ranked.select(
+    named = ranked.join(t.customers.select("customer_id", "name", "city", "signup_date"), "customer_id")
+    return (named.select(
         "customer_id", "name", "city", "signup_date", "total_orders",
         F.col("lifetime_value").cast("double").alias("lifetime_value"),
         "first_order", "last_order", "ltv_rank",
-        F.round(F.col("lifetime_value") / F.col("total_orders"), 2).cast("double").alias("avg_order_value"),
+        X.money_mean("lifetime_value", "total_orders").alias("avg_order_value"),
     ).orderBy("ltv_rank", "customer_id"))
 
 
 def _cohort_activity(t) -> DataFrame:
-    """(customer, cohort month, active month) for completed orders, deduplicated."""
+    """(customer, cohort month, active month) for completed orders, deduplicated;
+    ``first`` marks each customer's first active month."""
     active = (_completed_orders(t)
               .select("customer_id", X.month_start("order_date").alias("order_month"))
               .distinct())
     c = t.customers.select("customer_id", X.month_start("signup_date").alias("cohort_month"))
-    return active.join(c, "customer_id")
+    earliest = F.min("order_month").over(Window.partitionBy("customer_id"))  # a customer's months: few
+    return active.join(c, "customer_id").withColumn("first", F.col("order_month") == earliest)
 
 
 def cohort_retention(t, denominator: str = "active") -> DataFrame:
     """Signup-month cohorts x months since signup -> active customers and %.
 
     ``denominator="active"`` (default) sizes a cohort by its customers with
-    at least one completed order; ``"all_signups"`` by every signup.
+    at least one completed order, counted by their first active month in the
+    same aggregate as the cells; ``"all_signups"`` by every signup.
     """
-    act = _cohort_activity(t)
+    cells = _cohort_activity(t).groupBy("cohort_month", "order_month").agg(
+        F.count(F.lit(1)).alias("active_customers"), F.count_if("first").alias("starters"))
     if denominator == "all_signups":
         sizes = (t.customers.groupBy(X.month_start("signup_date").alias("cohort_month"))
                  .agg(F.count_distinct("customer_id").alias("cohort_size")))
+        sized = cells.join(F.broadcast(sizes), "cohort_month")  # one row per cohort month: bounded by the calendar
     else:
-        sizes = act.groupBy("cohort_month").agg(F.count_distinct("customer_id").alias("cohort_size"))
-    cells = (act.groupBy("cohort_month", "order_month")
-             .agg(F.count(F.lit(1)).alias("active_customers")))
-    # one row per cohort month: bounded by the calendar, safe to broadcast
-    return (cells.join(F.broadcast(sizes), "cohort_month")
-            .select("cohort_month",
-                    X.month_diff("order_month", "cohort_month").alias("months_since_signup"),
-                    "active_customers", "cohort_size",
-                    X.pct("active_customers", "cohort_size", 1).alias("retention_pct"))
+        sized = cells.withColumn("cohort_size", F.sum("starters").over(Window.partitionBy("cohort_month")))
+    return (sized.select("cohort_month",
+                         X.month_diff("order_month", "cohort_month").alias("months_since_signup"),
+                         "active_customers", "cohort_size",
+                         X.pct("active_customers", "cohort_size", 1).alias("retention_pct"))
             .orderBy("cohort_month", "months_since_signup"))
 
 
-def cohort_retention_matrix(t, max_months: int | None = None) -> DataFrame:
-    """Cohorts as rows, months since signup as columns, retention % as cells."""
-    # cohorts x offsets: small; materialized so the pivot's value scan and
-    # the pivot itself do not both run the pipeline
-    long = ranking.materialize_small(cohort_retention(t))
+def cohort_retention_matrix(t, max_months: int | None = None, offsets=None) -> DataFrame:
+    """Cohorts as rows, months since signup as columns, retention % as cells.
+
+    ``max_months`` keeps the offsets up to it; ``offsets`` declares the columns (`pivot`).
+    """
+    long = cohort_retention(t)
     if max_months is not None:
         long = long.filter(F.col("months_since_signup") <= max_months)
-        values = list(range(0, max_months + 1))
-        wide = long.groupBy("cohort_month").pivot("months_since_signup", values)
-    else:
-        wide = long.groupBy("cohort_month").pivot("months_since_signup")
-    return wide.agg(F.first("retention_pct")).orderBy("cohort_month")
-
-
-SEGMENTS = [  # fixed values: segment labels, in the order their rules are checked
-    "Champions", "Loyal Customers", "New Customers", "At Risk", "Need Attention",
-]
+    return pivot(long, "cohort_month", "months_since_signup", F.first("retention_pct"), offsets).orderBy("cohort_month")
 
 
 def rfm_segments(t, high_is_best: bool = False) -> DataFrame:
@@ -170,7 +163,7 @@ def rfm_segments(t, high_is_best: bool = False) -> DataFrame:
            .agg(F.max("order_date").alias("last_order_date"),
                 F.count(F.lit(1)).alias("frequency"),
                 F.sum("order_revenue").alias("monetary")))
-    raw = raw.join(t.customers.select("customer_id", "name"), "customer_id")
+    raw = raw.join(t.customers.select("customer_id"), "customer_id", "left_semi")
     asc = high_is_best
     scored = ranking.with_global_ntile(raw, [("last_order_date", asc), ("customer_id", True)], 3, "r_score")
     scored = ranking.with_global_ntile(scored, [("frequency", asc), ("monetary", asc), ("customer_id", True)],
@@ -178,12 +171,14 @@ def rfm_segments(t, high_is_best: bool = False) -> DataFrame:
     scored = ranking.with_global_ntile(scored, [("monetary", asc), ("customer_id", True)], 3, "m_score")
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     fm = F.col("f_score") + F.col("m_score")
-    segment = (F.when(total >= 8, SEGMENTS[0])
-                .when(total >= 6, SEGMENTS[1])
-                .when((F.col("r_score") == 3) & (fm <= 3), SEGMENTS[2])
-                .when((F.col("r_score") <= 2) & (F.col("f_score") >= 2), SEGMENTS[3])
-                .otherwise(SEGMENTS[4]))
-    return (scored.select(
+    # fixed values: thresholds and labels
+    segment = (F.when(total >= 8, "Champions")
+                .when(total >= 6, "Loyal Customers")
+                .when((F.col("r_score") == 3) & (fm <= 3), "New Customers")
+                .when((F.col("r_score") <= 2) & (F.col("f_score") >= 2), "At Risk")
+                .otherwise("Need Attention"))
+    named = scored.join(t.customers.select("customer_id", "name"), "customer_id")  # names are not sorted along
+    return (named.select(
         "customer_id", "name", "last_order_date", "frequency",
         X.money("monetary").alias("monetary"),
         "r_score", "f_score", "m_score",
@@ -213,7 +208,7 @@ def first_vs_repeat(t) -> DataFrame:
         F.when(F.col("order_rank") == 1, "First Purchase").otherwise("Repeat Purchase").alias("purchase_type"),
         "previous_order_date",
         F.datediff("order_date", "previous_order_date").alias("days_since_last_order"),
-    )
+    ).orderBy("customer_id", "order_rank")
 
 
 def yoy_by_category(t, year0: int = 1997, year1: int = 1998, missing_as_zero: bool = False) -> DataFrame:
@@ -276,7 +271,7 @@ def daily_running_revenue(t, calendar: bool = False) -> DataFrame:
         "day",
         X.money("daily_revenue").alias("daily_revenue"),
         X.money(F.sum("daily_revenue").over(running)).alias("running_total"),
-        X.money(F.avg("daily_revenue").over(moving)).alias("rolling_7day_avg"),
+        X.money_mean(F.sum("daily_revenue").over(moving), F.count("daily_revenue").over(moving)).alias("rolling_7day_avg"),
     ).orderBy("day"))
 
 

@@ -16,10 +16,12 @@ from __future__ import annotations
 import os
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
+from marketlens.operators.pivot import pivot
+from marketlens.operators.ranking import materialize_small
 from marketlens.sources import schemas
 
 DELIVERED_OR_SHIPPED = ("delivered", "shipped")
@@ -66,8 +68,9 @@ def dim_customer(t) -> DataFrame:
 
 
 def dim_product(t) -> DataFrame:
-    # the translation table has one row per category name: a small, bounded lookup
-    cat = F.broadcast(t.raw_category_translation)
+    # one row per category name, whatever the file repeats: products never fan out
+    cat = t.raw_category_translation.groupBy("product_category_name").agg(
+        F.min("product_category_name_english").alias("product_category_name_english"))
     p = t.raw_products.join(cat, "product_category_name", "left")
     volume = (F.col("product_length_cm").cast("long") * F.col("product_height_cm")
               * F.col("product_width_cm"))
@@ -140,18 +143,20 @@ STAR_BUILDERS = {
 
 
 def write_star(t, folder: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write the seven star tables; fact_orders partitioned by purchase month."""
+    """Write the seven star tables; fact_orders laid out by purchase month."""
+    dated = {"fact_orders": ("order_purchase_ts", "order_month", "order_id")}
     for name in STAR_BUILDERS:
         df = t[name]
         w = df.write.mode(mode)
-        if name == "fact_orders":
+        if name in dated:
             # range-partition on (month, time, id): writers stay balanced even
             # when one month holds most orders, and each month's rows arrive
             # sorted by time (tight row-group min/max for date filters)
-            keys = ["order_month", "order_purchase_ts", "order_id"]
-            df = df.withColumn("order_month", X.month_label("order_purchase_ts"))
+            ts, month, key = dated[name]
+            keys = [month, ts, key]
+            df = df.withColumn(month, X.month_label(ts))
             w = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                   .write.mode(mode).partitionBy("order_month"))
+                   .write.mode(mode).partitionBy(month))
         if fmt == "csv":
             w.option("header", True).csv(os.path.join(folder, name))
         else:
@@ -171,8 +176,8 @@ def warehouse_row_counts(t) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-# Declared constraints of the raw and star layers, checked as data rules.
-# (table, rule label, kind, arguments)
+# Declared constraints of the raw and star layers, checked as
+# data rules. (table, rule label, kind, arguments)
 INTEGRITY_RULES = [
     ("raw_customers", "pk", "unique", ("customer_id",)),
     ("raw_sellers", "pk", "unique", ("seller_id",)),
@@ -195,10 +200,14 @@ INTEGRITY_RULES = [
     ("dim_date", "pk", "unique", ("date",)),
     ("dim_customer", "pk", "unique", ("customer_id",)),
     ("dim_product", "pk", "unique", ("product_id",)),
+    ("dim_seller", "pk", "unique", ("seller_id",)),
     ("fact_orders", "pk", "unique", ("order_id",)),
     ("fact_orders", "fk_customer", "fk", ("customer_id", "dim_customer", "customer_id")),
     ("fact_order_items", "fk_order", "fk", ("order_id", "fact_orders", "order_id")),
+    ("fact_order_items", "pk", "unique", ("order_id", "order_item_id")),
     ("fact_order_items", "fk_product", "fk", ("product_id", "dim_product", "product_id")),
+    ("fact_order_items", "fk_seller", "fk", ("seller_id", "dim_seller", "seller_id")),
+    ("fact_payments", "pk", "unique", ("order_id", "payment_sequential")),
     ("fact_payments", "fk_order", "fk", ("order_id", "fact_orders", "order_id")),
 ]
 
@@ -209,16 +218,20 @@ SHOP_INTEGRITY_RULES = [
     ("customers", "pk", "unique", ("customer_id",)),
     ("customers", "not_null", "not_null", ("name", "signup_date")),
     ("products", "pk", "unique", ("product_id",)),
+    ("products", "not_null", "not_null", ("name", "cost_price")),
     ("products", "cost_non_negative", "check", "cost_price >= 0"),
     ("orders", "pk", "unique", ("order_id",)),
+    ("orders", "not_null", "not_null", ("customer_id", "order_date", "status")),
     ("orders", "fk_customer", "fk", ("customer_id", "customers", "customer_id")),
     ("orders", "status_known", "check", "status IN ('completed', 'cancelled', 'refunded', 'pending')"),
     ("order_items", "pk", "unique", ("item_id",)),
+    ("order_items", "not_null", "not_null", ("order_id", "product_id", "quantity", "unit_price")),
     ("order_items", "fk_order", "fk", ("order_id", "orders", "order_id")),
     ("order_items", "fk_product", "fk", ("product_id", "products", "product_id")),
     ("order_items", "quantity_positive", "check", "quantity > 0"),
     ("order_items", "price_non_negative", "check", "unit_price >= 0"),
     ("payments", "pk", "unique", ("payment_id",)),
+    ("payments", "not_null", "not_null", ("order_id", "amount", "payment_date")),
     ("payments", "fk_order", "fk", ("order_id", "orders", "order_id")),
     ("payments", "amount_non_negative", "check", "amount >= 0"),
     ("payments", "method_known", "check", "method IN ('card', 'paypal', 'transfer')"),
@@ -301,27 +314,32 @@ def warehouse_kpis(t, customer_key: str = "customer_id") -> DataFrame:
 
 
 def warehouse_cohort_retention(t, statuses=("delivered",), matrix: bool = False,
-                               max_cohorts: int = 14, max_months: int = 13) -> DataFrame:
+                               max_cohorts: int | None = None, max_months: int | None = None) -> DataFrame:
     """Retention of first-purchase cohorts over delivered orders.
 
-    Long form: cohort_month, months_since, active, pct. ``matrix=True``
-    returns the first ``max_cohorts`` cohorts x ``max_months`` offsets,
-    one column per offset.
+    Long form: cohort_month, months_since, active, pct. ``matrix=True`` gives
+    one row per cohort and one column per offset that occurs; ``max_cohorts``
+    and ``max_months`` keep the first so many cohorts and, by position, the
+    first so many of those offsets. A cohort is sized by its customers' first
+    active months, in the same aggregate as the cells.
     """
     fo = (t.fact_orders.filter(F.col("order_status").isin(*statuses))
           .select("customer_id", X.month_label("order_purchase_ts").alias("order_month"))
           .distinct())
     c = fo.join(t.dim_customer.select("customer_id", "cohort_month"), "customer_id")
-    sizes = c.groupBy("cohort_month").agg(F.count_distinct("customer_id").alias("cohort_size"))
-    cells = (c.withColumn("months_since", X.month_label_diff("order_month", "cohort_month"))
-              .groupBy("cohort_month", "months_since").agg(F.count(F.lit(1)).alias("active")))
-    # one row per cohort month: bounded by the calendar
-    long = (cells.join(F.broadcast(sizes), "cohort_month")
-            .select("cohort_month", "months_since", "active",
-                    X.pct("active", "cohort_size").alias("pct")))
+    earliest = F.min("order_month").over(Window.partitionBy("customer_id"))  # a customer's months: few
+    cells = (c.withColumn("first", F.col("order_month") == earliest)
+              .withColumn("months_since", X.month_label_diff("order_month", "cohort_month"))
+              .groupBy("cohort_month", "months_since")
+              .agg(F.count(F.lit(1)).alias("active"), F.count_if("first").alias("starters")))
+    # the cells are bounded by the calendar
+    size = F.sum("starters").over(Window.partitionBy("cohort_month"))
+    long = cells.select("cohort_month", "months_since", "active", X.pct("active", size).alias("pct"))
     if not matrix:
         return long.orderBy("cohort_month", "months_since")
-    first = (sizes.select("cohort_month").orderBy("cohort_month").limit(max_cohorts))
-    kept = long.join(F.broadcast(first), "cohort_month").filter(F.col("months_since") < max_months)
-    return (kept.groupBy("cohort_month").pivot("months_since", list(range(max_months)))
-            .agg(F.first("pct")).orderBy("cohort_month"))
+    place = lambda c: F.dense_rank().over(Window.orderBy(c))
+    kept = materialize_small(long.withColumn("_row", place("cohort_month")).where(
+        F.lit(True) if max_cohorts is None else F.col("_row") <= max_cohorts).drop("_row"))
+    kept = kept.withColumn("_col", place("months_since")).where(
+        F.lit(True) if max_months is None else F.col("_col") <= max_months).drop("_col")
+    return pivot(kept, "cohort_month", "months_since", F.first("pct")).orderBy("cohort_month")

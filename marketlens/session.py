@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on: adaptive execution re-plans joins with
@@ -51,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: checkpoints use the server's folder
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect: the server's folder holds
         return configured
     current = sc.getCheckpointDir()
     if current:

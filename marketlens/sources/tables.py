@@ -113,17 +113,35 @@ class Tables:
         return cls(spark, {n: reader(n) for n in schemas.SHOP})
 
     @classmethod
-    def from_marketplace_csv(cls, spark: SparkSession, folder: str) -> "Tables":
-        """Raw marketplace export. Empty text in a timestamp column reads as null."""
+    def from_marketplace_csv(cls, spark: SparkSession, folder: str, files: dict[str, str] | None = None) -> "Tables":
+        """Raw marketplace export. Empty text reads as null; quoted texts may hold
+        line breaks and doubled quotes; a value that does not fit its column is
+        an error. ``files`` maps raw tables to file names other than
+        `schemas.RAW_FILES`."""
+        names = {**schemas.RAW_FILES, **(files or {})}
+
         def reader(name: str):
             return lambda: (spark.read.schema(schemas.RAW[name]).option("header", True)
                             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
                             .option("emptyValue", None).option("nullValue", "")
-                            .csv(os.path.join(folder, schemas.RAW_FILES[name])))
+                            .option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
+                            .csv(os.path.join(folder, names[name])))
         return cls(spark, {n: reader(n) for n in schemas.RAW})
 
+    @classmethod
+    def from_sales_csv(cls, spark: SparkSession, path: str) -> "Tables":
+        """A flat file of sales transactions (`schemas.SALES`)."""
+        return cls(spark, {"sales": lambda: (spark.read.schema(schemas.SALES).option("header", True)
+                                             .option("mode", "FAILFAST").csv(path))})
+
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str, names=None) -> "Tables":
-        names = names or [p[:-len(".parquet")] for p in os.listdir(folder) if p.endswith(".parquet")]
+        """``<name>.parquet`` datasets below ``folder``, in any store that Spark reads.
+
+        Without ``names`` the folder is listed through Spark's file system."""
+        if names is None:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+            names = [n[:-len(".parquet")] for n in (f.getPath().getName() for f in found) if n.endswith(".parquet")]
         return cls(spark, {n: (lambda n=n: spark.read.parquet(os.path.join(folder, f"{n}.parquet")))
                            for n in names})

@@ -17,10 +17,10 @@ from marketlens.sources.tables import Tables
 
 CSV = {
     "customers": """customer_id,name,city,signup_date
-1,Ana,Girona,2022-01-10
-2,Marc,Lleida,2022-03-01
-3,Laura,Tarragona,2022-02-15
-4,Jordi,Reus,2023-01-01
+1,Vera,Girona,2022-01-10
+2,Ole,Lleida,2022-03-01
+3,Ines,Tarragona,2022-02-15
+4,Tomas,Reus,2023-01-01
 """,
     "products": """product_id,name,category,cost_price
 10,Laptop,Electronics,500.00
@@ -41,8 +41,8 @@ CSV = {
     "order_items": """item_id,order_id,product_id,quantity,unit_price
 1,100,10,1,617.00
 2,100,12,2,0.50
-3,101,11,1,27.99
-4,101,12,1,27.98
+3,101,11,1,31.45
+4,101,12,1,31.44
 5,102,10,1,700.00
 6,103,11,2,150.00
 7,104,12,10,1.00
@@ -53,8 +53,8 @@ CSV = {
 """,
     "payments": """payment_id,order_id,amount,payment_date,method
 1,100,618.00,2022-01-15,card
-2,101,55.97,2022-06-20,paypal
-3,102,349.00,2023-01-20,card
+2,101,62.89,2022-06-20,paypal
+3,102,351.00,2023-01-20,card
 4,103,300.00,2023-03-01,transfer
 5,105,120.00,2022-03-05,card
 """,
@@ -79,7 +79,7 @@ def test_monthly_revenue_line_average_rounds_half_up(t):
     assert set(r) == {dt.date(2022, 1, 1), dt.date(2022, 3, 1), dt.date(2022, 6, 1),
                       dt.date(2023, 1, 1), dt.date(2023, 3, 1)}
     june = r[dt.date(2022, 6, 1)]
-    assert (june["total_orders"], june["gross_revenue"], june["avg_order_value"]) == (1, 55.97, 27.99)
+    assert (june["total_orders"], june["gross_revenue"], june["avg_order_value"]) == (1, 62.89, 31.45)
     assert r[dt.date(2022, 1, 1)]["avg_order_value"] == 309.0  # two lines, one order
 
 
@@ -92,7 +92,7 @@ def test_orders_without_payment_uses_anti_join_and_not_in(t):
 def test_yoy_missing_year_is_null_or_zero(t):
     r = rows(shop.yoy_by_category(t, 2022, 2023), "category")
     assert r["Electronics"]["yoy_growth_pct"] == 13.5
-    assert r["Furniture"]["revenue_2022"] == 147.99 and r["Furniture"]["yoy_growth_pct"] == 102.7
+    assert r["Furniture"]["revenue_2022"] == 151.45 and r["Furniture"]["yoy_growth_pct"] == 98.1
     assert r["Stationery"]["revenue_2023"] is None and r["Stationery"]["yoy_growth_pct"] is None
     z = rows(shop.yoy_by_category(t, 2022, 2023, missing_as_zero=True), "category")
     assert z["Stationery"]["revenue_2023"] == 0.0 and z["Stationery"]["yoy_growth_pct"] == -100.0
@@ -109,16 +109,16 @@ def test_first_vs_repeat_same_day_tie_and_gaps(t):
 
 def test_daily_running_rows_vs_calendar(t):
     r = rows(shop.daily_running_revenue(t), "day")
-    assert r[dt.date(2023, 3, 1)]["running_total"] == 1442.97
-    assert r[dt.date(2022, 6, 20)]["rolling_7day_avg"] == 264.66
+    assert r[dt.date(2023, 3, 1)]["running_total"] == 1451.89
+    assert r[dt.date(2022, 6, 20)]["rolling_7day_avg"] == 266.96
     cal = rows(shop.daily_running_revenue(t, calendar=True), "day")
-    assert cal[dt.date(2022, 6, 20)]["rolling_7day_avg"] == 55.97  # nothing else within 7 days
+    assert cal[dt.date(2022, 6, 20)]["rolling_7day_avg"] == 62.89  # nothing else within 7 days
 
 
 def test_customer_ltv_rank_and_average(t):
     r = rows(shop.customer_ltv(t), "customer_id")
-    assert r[1]["lifetime_value"] == 1673.97 and r[1]["ltv_rank"] == 1
-    assert r[1]["avg_order_value"] == 418.49 and r[1]["total_orders"] == 4
+    assert r[1]["lifetime_value"] == 1680.89 and r[1]["ltv_rank"] == 1
+    assert r[1]["avg_order_value"] == 420.22 and r[1]["total_orders"] == 4
     assert r[2]["ltv_rank"] == 2 and r[2]["avg_order_value"] == 65.0
     assert set(r) == {1, 2}
 
@@ -142,7 +142,7 @@ def test_top_products_margin(t):
     r = rows(shop.top_products_margin(t))
     assert [x["product_id"] for x in r] == [10, 11, 12]
     assert (r[0]["gross_margin"], r[0]["margin_pct"]) == (317.0, 24.1)
-    assert (r[2]["units_sold"], r[2]["margin_pct"]) == (13, 66.6)  # 25.98 / 38.98
+    assert (r[2]["units_sold"], r[2]["margin_pct"]) == (13, 69.4)  # 29.44 / 42.44
 
 
 def test_order_totals_in_range_prunes_month_partitions(spark, t, tmp_dir):
