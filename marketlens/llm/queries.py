@@ -6,6 +6,7 @@ from marketlens.llm.decontamination import op9_decontamination
 from marketlens.llm.language_id import op7_language_id
 from marketlens.llm.license_scan import op2_license_scan
 from marketlens.llm.ngram_join import op5_ngram_jaccard
+from marketlens.llm.oracles import ORACLES
 from marketlens.llm.packing import op8_length_buckets
 from marketlens.llm.quality_rules import op3_quality_rules
 from marketlens.llm.substring_dedup import op4_substring_dedup
@@ -17,4 +18,4 @@ QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_license_scan, op3_quality_rules, op4_substring_dedup, op5_ngram_jaccard,
     op6_warc_index, op7_language_id, op8_length_buckets, op9_decontamination, op10_suffix_array_dedup)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
