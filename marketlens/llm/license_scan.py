@@ -247,7 +247,7 @@ def scan(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_
                             families=[sorted({f for _, f in x}) for x in found],
                             family=[f for _, f in best], score=[s for s, _ in best])
 
-    return arrow_map(df.select(*keep, text_col), run, out_schema(
+    return arrow_map(df.select(*dict.fromkeys([*keep, text_col])), run, out_schema(
         df, keep, "n_paragraphs long, n_licensed long, families array<string>, family string, score double"))
 
 

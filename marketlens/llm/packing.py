@@ -37,7 +37,7 @@ def word_counts(df: DataFrame, keep: tuple[str, ...], text_col: str = "text") ->
             cols = {c: b.batch.column(c) for c in keep}
             yield out_batch(pa.schema([*((c, x.type) for c, x in cols.items()), ("n_tokens", pa.int64())]),
                             **cols, n_tokens=np.diff(words))
-    return arrow_map(df.select(*keep, text_col), run, out_schema(df, keep, "n_tokens long"))
+    return arrow_map(df.select(*dict.fromkeys([*keep, text_col])), run, out_schema(df, keep, "n_tokens long"))
 
 
 def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:

@@ -94,7 +94,7 @@ def text_statistics(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
                 n_words=np.diff(words), word_chars=np.diff(lead[b.offsets]), n_symbols=np.diff(symbol[b.offsets]),
                 n_lines=lines, n_dup_lines=dup, n_repeat_words=rep)
 
-    return arrow_map(df.select(*keep, text_col), run, out_schema(df, keep, ", ".join(f"{x} long" for x in names)))
+    return arrow_map(df.select(*dict.fromkeys([*keep, text_col])), run, out_schema(df, keep, ", ".join(f"{x} long" for x in names)))
 
 
 def bucket(value: Column) -> Column:
