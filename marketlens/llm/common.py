@@ -25,7 +25,9 @@ from pyspark.sql.types import StructType
 from marketlens.session import ensure_checkpoint_dir
 
 BLOCK_BYTES = 2 << 20
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: A batch ends at so many rows or bytes, which bounds the workers' and Spark's Arrow buffers.
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+                "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _rng = np.random.default_rng(20240229)
@@ -119,8 +121,10 @@ def arrow_map(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     batch of long texts fits a worker."""
     spark = df.sparkSession
     ship(spark)
-    if int(spark.conf.get(ARROW_ROWS)) > 1000:
-        spark.conf.set(ARROW_ROWS, "1000")
+    for name, most in ARROW_LIMITS.items():
+        now = spark.conf.get(name)
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
     return df.mapInArrow(fn, schema)
 
 
