@@ -36,18 +36,21 @@ def _div(a, b):
 
 
 def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
-             names: Sequence[str] | None = None, extra_sums: dict | None = None) -> DataFrame:
+             names: Sequence[str] | None = None, extra_sums: dict | None = None,
+             customers: DataFrame | None = None) -> DataFrame:
     """All report measures per ``by`` group.
 
     ``df`` is at order grain (one row per order). ``period`` names the
     column among ``by`` that Revenue PY shifts: ``"month_label"``
     ('yyyy-MM') or ``"year"``; without it PY is not computed. ``extra_sums``
     maps an output name to a per-order Column that is summed in the same
-    two aggregations.
+    two aggregations. ``customers`` has those of the ``by`` columns that go
+    with the customer (customer_id first); it meets the rollup, not the orders.
     """
     by = list(by)
     extra_sums = dict(extra_sums or {})
-    per_customer = df.groupBy(*by, "customer_id").agg(
+    own = [c for c in by if customers is None or c not in customers.columns]
+    per_customer = df.groupBy(*own, "customer_id").agg(
         F.count("order_id").alias("n"),
         F.sum("revenue").alias("rev"),
         F.sum("total_items").alias("items"),
@@ -56,6 +59,8 @@ def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
         F.sum("review_score").alias("score_sum"), F.count("review_score").alias("score_n"),
         F.count(F.when(F.col("review_score") <= 2, F.col("order_id"))).alias("low"),
         *[F.sum(e).alias(k) for k, e in extra_sums.items()])
+    if customers is not None:
+        per_customer = per_customer.join(customers, "customer_id", "left")
     agg = per_customer.groupBy(*by).agg(
         F.sum("rev").alias("rev"), F.sum("n").alias("orders"), F.sum("items").alias("total_items"),
         F.count("customer_id").alias("customers"),
@@ -123,8 +128,9 @@ def measures_by_month(t, **scope) -> DataFrame:
 
 def measures_by_state(t, **scope) -> DataFrame:
     """Per customer state and purchase year (PY = same state, year before)."""
-    fo = order_frame(t, **scope).join(t.dim_customer.select("customer_id", "customer_state"), "customer_id", "left")
-    return measures(fo, ["customer_state", "year"], period="year").orderBy("customer_state", "year")
+    states = t.dim_customer.select("customer_id", "customer_state")
+    return measures(order_frame(t, **scope), ["customer_state", "year"], period="year",
+                    customers=states).orderBy("customer_state", "year")
 
 
 # ------------------------------------------------------------------ 12 KPIs

@@ -59,17 +59,16 @@ def kpi_cards(t, year: int | None = None, states=None) -> DataFrame:
 
     Revenue PY shifts the whole date selection back one year: with a year
     slicer it is the year before; without one it is the revenue of orders
-    placed up to one year before the last purchase date. That date is one
-    scalar from a scan of the purchase timestamps alone; PY is then a
+    placed up to one year before the last purchase date. That date is a
+    scalar subquery over the purchase timestamps alone; PY is then a
     conditional sum in the same rollup as the other cards.
     """
     fo = _orders(t, year, states)
     cols = ["total_revenue", "orders", "avg_order_value", "customers", "repeat_rate_pct", "avg_review_score"]
     if year is None:
-        last_day = fo.agg(F.max(F.to_date("order_purchase_ts"))).first()[0]  # a single value
-        cutoff = F.add_months(F.lit(last_day).cast("date"), -12)
-        in_py = F.to_date("order_purchase_ts") <= cutoff
-        both = M.measures(fo, names=cols, extra_sums={"rev_prior": F.when(in_py, F.col("revenue"))})
+        cutoff = F.add_months(fo.agg(F.max(F.to_date("order_purchase_ts"))).scalar(), -12)
+        prior = F.when(F.to_date("order_purchase_ts") <= cutoff, F.col("revenue"))
+        both = M.measures(fo.withColumn("_prior", prior), names=cols, extra_sums={"rev_prior": F.col("_prior")})
     else:
         prior = _orders(t, year - 1, states).agg(F.sum("revenue").alias("rev_prior"))
         # two one-row results side by side: union, then one max per column (no join)
@@ -131,10 +130,12 @@ def cohort_matrix_18(t, wide: bool = True, max_months: int = 18) -> DataFrame:
 
 def new_vs_returning(t, year=None, states=None) -> DataFrame:
     """Customers per month split by whether the order is in their cohort month."""
-    fo = _orders(t, year, states).join(t.dim_customer.select("customer_id", "cohort_month"), "customer_id", "left")
+    # a customer's months first: orders do not meet the customers
+    seen = _orders(t, year, states).select("month_label", "customer_id").distinct()
+    cohorts = t.dim_customer.select("customer_id", "cohort_month")
     is_new = X.to_flag(F.col("month_label") == F.col("cohort_month"))
-    per = (fo.select("month_label", "customer_id", is_new.alias("is_new")).distinct()
-           .groupBy("month_label", "is_new").agg(F.count(F.lit(1)).alias("customers")))
+    per = (seen.join(cohorts, "customer_id", "left")
+           .groupBy("month_label", is_new.alias("is_new")).agg(F.count(F.lit(1)).alias("customers")))
     return per.orderBy("month_label", "is_new")
 
 
@@ -209,16 +210,17 @@ def _with_state(t, fo: DataFrame) -> DataFrame:
 
 
 def delay_by_state(t, year=None, states=None) -> DataFrame:
-    per = (_with_state(t, _orders(t, year, states)).groupBy("customer_state")
-           .agg(F.sum("delivery_delay_days").alias("s"), F.count("delivery_delay_days").alias("k")))
+    per_customer = _orders(t, year, states).groupBy("customer_id").agg(
+        F.sum("delivery_delay_days").alias("s"), F.count("delivery_delay_days").alias("k"))
+    per = _with_state(t, per_customer).groupBy("customer_state").agg(F.sum("s").alias("s"), F.sum("k").alias("k"))
     return per.select("customer_state", _div("s", "k").alias("avg_delivery_delay"),
                       F.col("k").alias("delivered_orders")).orderBy("customer_state")
 
 
 def late_share_by_state(t, n: int | None = 15, target_pct: float = LATE_TARGET_PCT,
                         year=None, states=None) -> DataFrame:
-    m = M.measures(_with_state(t, _orders(t, year, states)), ["customer_state"],
-                   names=["orders", "late_orders", "late_share_pct"])
+    m = M.measures(_orders(t, year, states), ["customer_state"], names=["orders", "late_orders", "late_share_pct"],
+                   customers=t.dim_customer.select("customer_id", "customer_state"))
     out = m.withColumn("above_target", X.to_flag(F.col("late_share_pct") > F.lit(target_pct)))
     return _top(out, n, "orders", ["customer_state"])
 

@@ -265,7 +265,18 @@ def integrity_report(t, rules=INTEGRITY_RULES) -> DataFrame:
 
     Row-level rules (not null, check) of one table share a single scan;
     key rules (unique, foreign key) are one aggregate or anti join each.
+    A star table that is still derived from the raw layer is reduced to the
+    columns of its rules and written once, instead of running the ETL for each.
     """
+    used: dict[str, set] = {}
+    for table, _, kind, args in rules:
+        used.setdefault(table, set()).update(
+            args[:1] if kind == "fk" else args if kind in ("unique", "not_null") else t[table].columns)
+        if kind == "fk":
+            used.setdefault(args[1], set()).add(args[2])
+    derived = [table for table in used if table in STAR_BUILDERS and table not in t._builders]
+    t = {table: (materialize_small(t[table].select(*sorted(cols))) if table in derived else t[table])
+         for table, cols in used.items()}
     parts = []
     row_rules: dict[str, list] = {}
     for table, rule, kind, args in rules:
