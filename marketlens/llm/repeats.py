@@ -19,9 +19,11 @@ group are sorted and compared is theirs (`Plan.order`).
    common lengths of neighbours. Two records share a window with l units before
    the anchor exactly if they agree in l units to the left and ``window`` - l
    to the right.
-4. *Large groups.* A key with more than ``limit`` classes is split: its records
-   are resolved window by window, each window a group of its own, again settled
-   within each task first.
+4. *Large groups.* A key with more than ``limit`` classes is divided by longer
+   keys: a record's run is cut by the number of units before the anchor, into
+   parts of ``steps`` windows, and the key of a part is all that its windows have
+   in common. Such a part is a record like any other, and carries its units; the
+   last step is 1, where each window is a group of its own.
 
 A document is told by its id and a hash of its text; a null id sorts last.
 """
@@ -58,6 +60,7 @@ class Plan:
     keep_first: bool  # the earliest occurrence stays; otherwise all go
     limit: int  # classes of a key that are compared in one group
     block_bytes: int
+    steps: tuple[int, ...]  # windows in a part of a divided run, round by round
     #: Block -> (hash of each unit, hash of each gram, unit offsets of the rows, slice of units as bytes)
     units: Callable[[Block], tuple]
     #: (contexts, units before the anchor) -> order and neighbours' common length, to the right and to the left
@@ -75,15 +78,26 @@ def _take(r: dict, at) -> dict:
 
 
 def _join(parts: list[dict]) -> dict:
-    return {n: np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, t) for n, _, _, t in _FIELDS}
+    """Records end to end; ``units``, an array of bytes or None, if they have it."""
+    out = {n: np.concatenate([p[n] for p in parts]) if parts else np.zeros(0, t) for n, _, _, t in _FIELDS}
+    if parts and "units" in parts[0]:
+        out["units"] = np.concatenate([p["units"] for p in parts])
+    return out
 
 
-def _emit(r: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(r[n], t) for n, _, t, _ in _FIELDS], schema=ARROW)
+def _emit(r: dict, units: bool = False) -> pa.RecordBatch:
+    columns = [pa.array(r[n], t) for n, _, t, _ in _FIELDS]
+    if not units:
+        return pa.RecordBatch.from_arrays(columns, schema=ARROW)
+    texts = pa.array(list(r["units"]), pa.binary()) if "units" in r else pa.nulls(len(r["key"]), pa.binary())
+    return pa.RecordBatch.from_arrays([*columns, texts], schema=pa.schema([*ARROW, ("units", pa.binary())]))
 
 
 def _read(b: pa.RecordBatch) -> dict:
-    return {n: b.column(n).to_numpy(zero_copy_only=False).astype(t, copy=False) for n, _, _, t in _FIELDS}
+    out = {n: b.column(n).to_numpy(zero_copy_only=False).astype(t, copy=False) for n, _, _, t in _FIELDS}
+    if "units" in b.schema.names:
+        out["units"] = np.array([*b.column("units").to_pylist(), None], object)[:-1]
+    return out
 
 
 def _as(r: dict, kind: int) -> dict:
@@ -92,6 +106,7 @@ def _as(r: dict, kind: int) -> dict:
 
 def _runs(r: dict) -> dict:
     """Repeated runs of windows, adjoining ones of a document merged."""
+    r = {n: r[n] for n in NAMES}
     if not len(r["key"]):
         return _as(r, REPEATED)
     r = _take(r, np.lexsort((r["a"], r["disc"], r["doc"])))
@@ -222,8 +237,9 @@ def _sampled(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
 
 # --- 2: classes ------------------------------------------------------------
 
-def _classes(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
-    """Input sorted by key. Repeated runs, and requests for keys with several classes."""
+def _classes(batches: Iterator[pa.RecordBatch], plan: Plan, units: bool = False) -> Iterator[pa.RecordBatch]:
+    """Input sorted by key. Repeated runs, and requests for keys with several
+    classes, with ``units`` if the input has them."""
     pending: list[dict] = []
     split_key = None  # a key whose requests have begun to go out window by window
 
@@ -241,13 +257,13 @@ def _classes(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
         ask = (classes > 1) | split
         out = _as(rep, REQUEST)
         out["kind"][split] = SPLIT
-        yield from (_emit(x) for x in (_runs(gone), _take(out, ask)) if len(x["key"]))
+        yield from (_emit(x, units) for x in (_runs(gone), _take(out, ask)) if len(x["key"]))
 
     for b in batches:
         r = _read(b)
         done = r["kind"] == REPEATED
         if done.any():
-            yield _emit(_take(r, done))
+            yield _emit(_take(r, done), units)
         r = _take(r, ~done)
         if not len(r["key"]):
             continue
@@ -260,12 +276,12 @@ def _classes(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
             split_key = None
         elif sum(len(x["key"]) for x in pending) > FLUSH:  # one very frequent key
             rep, gone = _settle(_join(pending), plan.keep_first)
-            yield _emit(_runs(gone))
+            yield _emit(_runs(gone), units)
             pending = [rep]
             if len(rep["key"]) > FLUSH // 2:
                 split_key = rep["key"][0]
                 last = len(rep["key"]) - 1  # its class may go on
-                yield _emit(_as(_take(rep, slice(0, last)), SPLIT))
+                yield _emit(_as(_take(rep, slice(0, last)), SPLIT), units)
                 pending = [_take(rep, slice(last, None))]
     if pending:
         yield from close(_join(pending))
@@ -273,11 +289,10 @@ def _classes(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
 
 # --- 3 and 4: contexts -----------------------------------------------------
 
-def _contexts(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
-    """Rows of documents with their requests: contexts, or windows where a key is split."""
-    schema = pa.schema([*ARROW, ("units", pa.binary())])
+def _contexts(batches: Iterator[pa.RecordBatch], plan: Plan, step: int) -> Iterator[pa.RecordBatch]:
+    """Rows of documents with their requests: contexts, or parts of runs where a key is divided."""
     for b in text_batches(batches, "text", plan.block_bytes):
-        h, g, rows, cut = plan.units(b)
+        h, _, rows, cut = plan.units(b)
         asked = b.batch.column("asked")
         flat = asked.flatten()
         row = np.repeat(np.arange(b.rows), np.diff(asked.offsets.to_numpy()))
@@ -288,33 +303,56 @@ def _contexts(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Reco
         for n, t in (("doc", np.int64), ("disc", np.int32)):
             r[n] = b.batch.column(n).to_numpy(zero_copy_only=False)[row].astype(t)
         begin = rows[row] + r["a"]
-        ask = np.flatnonzero(r["kind"] == REQUEST)
-        for i in range(0, len(ask), 8192):
-            at = ask[i:i + 8192]
-            texts = [cut(x, x + n + plan.window - 1) for x, n in zip(begin[at].tolist(), r["n"][at].tolist())]
-            x = _take(r, at)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[n], t) for n, _, t, _ in _FIELDS),
-                                              pa.array(texts, pa.binary())], schema=schema)
-        split = np.flatnonzero(r["kind"] == SPLIT)
-        if not len(split):
-            continue
-        first, second = prefix_hash(h, int(BASES[0])), prefix_hash(h, int(BASES[1]))
-        many = r["n"][split].astype(np.int64)
-        which = np.repeat(split, many)
-        shift = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-        s = begin[which] + shift
-        x = _take(r, which)
-        x |= {"kind": np.full(len(which), RECORD, np.int8), "key": mix(first(s, s + plan.window)).view(np.int64),
-              "ctx": mix(second(s, s + plan.window)).view(np.int64), "a": (x["a"] + shift).astype(np.int32),
-              "n": np.ones(len(which), np.int32), "off": (x["off"] - shift).astype(np.int32),
-              "many": np.zeros(len(which), bool)}
-        # a window with its record's other occurrences already known is settled there
-        rep, gone = _settle(x, plan.keep_first)
-        for y in (rep, _runs(gone)):
-            for i in range(0, len(y["key"]), 1 << 16):
-                z = _take(y, slice(i, i + (1 << 16)))
-                yield pa.RecordBatch.from_arrays([*(pa.array(z[n], t) for n, _, t, _ in _FIELDS),
-                                                  pa.nulls(len(z["key"]), pa.binary())], schema=schema)
+        yield from _with_units(_take(r, r["kind"] == REQUEST), begin[r["kind"] == REQUEST], plan, cut)
+        split = r["kind"] == SPLIT
+        yield from _divided(_take(r, split), begin[split], h, cut, plan, step)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], plan: Plan, step: int) -> Iterator[pa.RecordBatch]:
+    """Records with their units, divided further."""
+    for b in text_batches(batches, "units", plan.block_bytes):
+        h, _, rows, cut = plan.units(b)
+        yield from _divided({n: v for n, v in _read(b.batch).items() if n != "units"}, rows[:-1], h, cut, plan, step)
+
+
+def _with_units(r: dict, begin: np.ndarray, plan: Plan, cut: Callable) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(begin), 8192):
+        x = _take(r, slice(i, i + 8192))
+        texts = [cut(a, a + n + plan.window - 1) for a, n in zip(begin[i:i + 8192].tolist(), x["n"].tolist())]
+        yield _emit(x | {"units": texts}, True)
+
+
+def _divided(r: dict, begin: np.ndarray, h: np.ndarray, cut: Callable, plan: Plan, step: int) -> Iterator[pa.RecordBatch]:
+    """The runs of ``r`` in parts of ``step`` windows by the number of units before the anchor."""
+    if not len(begin):
+        return
+    first, second = prefix_hash(h, int(BASES[0])), prefix_hash(h, int(BASES[1]))
+    high = r["off"].astype(np.int64)  # units before the anchor, from the run's first window on
+    low = high - r["n"] + 1
+    many = high // step - low // step + 1
+    which = np.repeat(np.arange(len(begin)), many)
+    part = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many) + (low // step)[which]
+    most = np.minimum(high[which], part * step + step - 1)
+    least = np.maximum(low[which], part * step)
+    anchor = begin[which] + high[which]
+    wide = np.minimum(part * step + step, plan.reach) - 1  # the part's windows share what lies between
+    place = most.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (most - least).astype(np.uint64)
+    x = _take(r, which)
+    x |= {"kind": np.full(len(which), RECORD, np.int8),
+          "key": mix(first(anchor - part * step, anchor - wide + plan.window) + part.astype(np.uint64)).view(np.int64),
+          "ctx": mix(second(anchor - most, anchor - least + plan.window) + place).view(np.int64),
+          "a": (x["a"] + high[which] - most).astype(np.int32), "n": (most - least + 1).astype(np.int32),
+          "off": most.astype(np.int32), "many": np.zeros(len(which), bool)}
+    at = np.empty(len(which), object)  # where the part's units begin, through the sorting of `_settle`
+    at[:] = (anchor - most).tolist()
+    rep, gone = _settle(x | {"units": at}, plan.keep_first)
+    yield _emit(_runs(gone), True)
+    begin = rep.pop("units").astype(np.int64)
+    if step > 1:
+        yield from _with_units(rep, begin, plan, cut)
+    else:
+        for i in range(0, len(begin), 1 << 16):
+            yield _emit(_take(rep, slice(i, i + (1 << 16))), True)
 
 
 def _compare(r: dict, texts: list[bytes], plan: Plan) -> dict:
@@ -372,7 +410,7 @@ def _resolved(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Reco
             yield _emit(out)
 
     for b in batches:
-        parts.append(_read(b))
+        parts.append({n: v for n, v in _read(b).items() if n != "units"})
         texts += b.column("units").to_pylist()
         if len(texts) >= GROUP_ROWS:
             keys = np.concatenate([p["key"] for p in parts])
@@ -402,20 +440,28 @@ def repeated_windows(df: DataFrame, plan: Plan, id_col: str = "doc_id", text_col
         F.col("_doc").alias("doc"), F.col("_disc").alias("disc"), F.col("_t").alias("text"))
     sampled = arrow_map(docs, lambda it: _sampled(it, plan), DDL)
     settled = materialize(arrow_map(_by_key(sampled), lambda it: _classes(it, plan), DDL), "classes")
+    runs = settled.where(F.col("kind") == REPEATED)
 
     asked = settled.where(F.col("kind").isin(REQUEST, SPLIT)).groupBy("doc", "disc").agg(
         F.collect_list(F.struct(*(F.col(n) for n in NAMES if n not in ("doc", "disc")))).alias("asked"))
-    # repeated rows of a document ask once
-    here = docs.join(asked, ["doc", "disc"])
-    if plan.keep_first:
-        here = here.dropDuplicates(["doc", "disc"])
-    contexts = materialize(arrow_map(here, lambda it: _contexts(it, plan), f"{DDL}, units binary"), "contexts")
-    compared = arrow_map(_by_key(contexts.where(F.col("units").isNotNull())), lambda it: _resolved(it, plan), DDL)
-    split = arrow_map(_by_key(contexts.where(F.col("units").isNull()).drop("units")),
-                      lambda it: _classes(it, plan), DDL)
-    runs = settled.where(F.col("kind") == REPEATED)
-    for more in (compared, split):
-        runs = runs.unionByName(more.where(F.col("kind") == REPEATED))
+    asking = docs.join(asked, ["doc", "disc"])
+    if plan.keep_first:  # repeated rows of a document ask once
+        asking = asking.dropDuplicates(["doc", "disc"])
+    wide = f"{DDL}, units binary"
+    now = materialize(arrow_map(asking, lambda it: _contexts(it, plan, plan.steps[0]), wide), "contexts")
+    here = (F.col("kind") == REQUEST) & F.col("units").isNotNull()  # single windows are told by their hashes alone
+    contexts = now.where(here)
+    for step in (*plan.steps[1:], 0):
+        runs = runs.unionByName(now.where(F.col("kind") == REPEATED).select(NAMES))
+        parts = now.where(F.col("kind") == RECORD)
+        settled = materialize(arrow_map(_by_key(parts), lambda it: _classes(it, plan, True), wide), "classes")
+        runs = runs.unionByName(settled.where(F.col("kind") == REPEATED).select(NAMES))
+        contexts = contexts.unionByName(settled.where(here))
+        split = settled.where(F.col("kind") == SPLIT)
+        if not step or split.isEmpty():
+            break
+        now = materialize(arrow_map(split, lambda it, step=step: _parts(it, plan, step), wide), "contexts")
+    runs = runs.unionByName(arrow_map(_by_key(contexts), lambda it: _resolved(it, plan), DDL))
     return runs.groupBy("doc", "disc").agg(F.flatten(F.collect_list(F.array("a", "n"))).alias("runs"))
 
 

@@ -70,7 +70,7 @@ def _order(texts: list[bytes], off: np.ndarray):
     return *tree(right_words), *tree(left_words)
 
 
-PLAN = Plan(WINDOW, PREFIX, True, GROUP_LIMIT, 1 << 20, _units, _order)
+PLAN = Plan(WINDOW, PREFIX, True, GROUP_LIMIT, 1 << 20, (1,), _units, _order)
 
 
 def remove_repeated_windows(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc_id",

@@ -88,7 +88,7 @@ def _order(texts: list[bytes], off: np.ndarray):
     return *suffix_sort(np.ascontiguousarray(follow)), *suffix_sort(np.ascontiguousarray(before))
 
 
-PLAN = Plan(WINDOW, GRAM, False, GROUP_LIMIT, 1 << 18, _units, _order)
+PLAN = Plan(WINDOW, GRAM, False, GROUP_LIMIT, 1 << 18, (48, 8, 1), _units, _order)
 
 
 def remove_repeated_bytes(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc_id",
