@@ -1,4 +1,4 @@
-"""Plain versions of the operators, for small inputs."""
+"""Plain versions of the operators, for small inputs, and a way to make such inputs."""
 
 import hashlib
 import re
@@ -110,3 +110,13 @@ def text_rules(text):
     hit = {s + k for s in range(len(w) - 2) if count[tuple(w[s:s + 3])] > 1 for k in range(3)}
     symbols = sum(c in "#*$%&|<>" for c in "".join(w))
     return len(w), sum(map(len, w)), symbols, dup, len(hit), len(w) < 50 or 100 * len(hit) > 50 * len(w)
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words long, key long, units string"
+
+
+def frame(spark, rows, parts=3):
+    """Documents with columns whose names the operators use themselves."""
+    data = [(d, t, "en", "s", len(t or ""), -1, -2, "x") for d, t in rows]
+    df = spark.createDataFrame(data, DOCS)
+    return df.repartition(parts) if rows else df

@@ -2,15 +2,6 @@ import random
 
 import pytest
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words long, key long, units string"
-
-
-def frame(spark, rows, parts=3):
-    """Documents with columns whose names the operators use themselves."""
-    data = [(d, t, "en", "s", len(t or ""), -1, -2, "x") for d, t in rows]
-    df = spark.createDataFrame(data, DOCS)
-    return df.repartition(parts) if rows else df
-
 
 @pytest.fixture(scope="session")
 def odd_docs():

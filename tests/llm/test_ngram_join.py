@@ -2,7 +2,7 @@ import random
 
 import brute
 import pytest
-from conftest import frame
+from brute import frame
 
 from marketlens.llm import components, ngram_join
 

@@ -6,7 +6,7 @@ from dataclasses import replace
 
 import brute
 import pytest
-from conftest import frame
+from brute import frame
 
 from marketlens.llm import repeats, substring_dedup, suffix_array_dedup
 

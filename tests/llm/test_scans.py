@@ -4,7 +4,7 @@ import random
 
 import brute
 import numpy as np
-from conftest import frame
+from brute import frame
 
 from marketlens.llm import decontamination as D
 from marketlens.llm import language_id as L

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import frame
+from brute import frame
 
 from marketlens.llm import token_counts as T
 

@@ -5,7 +5,7 @@ import random
 import uuid
 
 import numpy as np
-from conftest import frame
+from brute import frame
 from pyspark.sql import functions as F
 
 from marketlens.llm import common, packing, warc
