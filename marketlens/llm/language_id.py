@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.llm.common import arrow_map, out_batch, out_schema, table, text_batches
+from marketlens.llm.common import arrow_map, broadcast_if_small, out_batch, out_schema, table, text_batches
 
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
@@ -42,13 +42,14 @@ def training_sample(train: DataFrame, text_col: str, lang_col: str, dict_bytes:
 
     Counts per language are summed first; only rows below a hash bound that
     leaves a bounded number of bytes of each language go on, so a language with
-    most of the rows costs no more than a rare one.
+    most of the rows costs no more than a rare one. The counts are broadcast if
+    they are few, so that no other text leaves its task.
     """
     rows = train.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn(
         "h", F.shiftrightunsigned(F.xxhash64("text"), 1)).withColumn("size", F.octet_length("text"))
     sizes = rows.groupBy("lang").agg(F.sum("size").cast("double").alias("bytes"))
-    near = rows.join(sizes, "lang").where(
+    near = rows.join(broadcast_if_small(sizes), "lang").where(
         F.col("h") <= F.lit(float(2**63)) * F.least(F.lit(1.0), F.lit(4.0 * dict_bytes + 4e5) / F.col("bytes")))
     order = Window.partitionBy("lang").orderBy("h", "text").rowsBetween(Window.unboundedPreceding, -1)
     return near.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0))).where(
@@ -108,7 +109,7 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_i
                                        ("rejected", pa.bool_())]),
                             **cols, lang_pred=pred, score=score, rejected=score < min_score)
 
-    return arrow_map(df.select(*keep, text_col), run,
+    return arrow_map(df.select(*dict.fromkeys([*keep, text_col])), run,
                      out_schema(df, keep, "lang_pred string, score double, rejected boolean"))
 
 
