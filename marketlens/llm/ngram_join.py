@@ -23,9 +23,12 @@ The join is exact: no link between different sets is lost.
    one component are skipped.
 4. *Large groups* are divided into blocks of about `BLOCK` sets by size. Blocks
    are resolved alone; the largest part of each block then sends its most
-   linked set to a tournament that joins these parts; what is left outside of
-   the group's largest part meets all blocks of fitting size. A group of near
-   copies thus costs in proportion to its size, and nothing is skipped.
+   linked set to a tournament that joins these parts. Then only sets that share
+   a bin but not yet a part have to meet. Those of a bin with up to `BLOCK` sets
+   meet there. Of larger bins, the sets outside of the group's largest part meet
+   all blocks of fitting size. So a group of near copies costs in proportion to
+   its size, as does one that chance candidates have chained, and nothing is
+   skipped.
 
 Edge cases: a text without words, or null, has an empty set, links with nothing
 and is its own component; a text shorter than n words has one gram, all of it;
@@ -211,36 +214,43 @@ def _signatures(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, s
             yield pa.record_batch([pa.array(key[s].view(np.int64)), pa.array(c1[pick][row[s]])], names=["key", "c"])
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Input sorted by key and class: each class of a key hangs on the key's smallest."""
-    key, lead = None, None
-    held: list[np.ndarray] = []
-
-    def flush():
-        e = np.unique(np.concatenate(held), axis=0)
-        held.clear()
-        return pa.record_batch([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["u", "v"])
-
-    count = 0
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Input sorted by key and class: the classes of each key that more than one
+    has, with the smallest of them."""
+    key, lead, last, alone = None, None, None, False  # of the last key; alone: one class so far, not sent
     for b in batches:
         k, c = (b.column(x).to_numpy() for x in ("key", "c"))
+        if not len(k):
+            continue
+        again = np.zeros(len(k), bool)  # a class that several tasks have sent
+        again[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
+        if key is not None and k[0] == key and c[0] == last:
+            again[0] = True
+        last = c[-1]
+        k, c = k[~again], c[~again]
         if not len(k):
             continue
         new = np.ones(len(k), bool)
         new[1:] = k[1:] != k[:-1]
         first = c[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        if key is not None and k[0] == key:
-            first[:int(np.searchsorted(k, key, "right"))] = lead
-        key, lead = k[-1], first[-1]
-        other = first != c
-        if other.any():
-            held.append(np.stack([first[other], c[other]], 1))
-            count += int(other.sum())
-            if count > 1 << 19:
-                yield flush()
-                count = 0
-    if held:
-        yield flush()
+        size = np.diff(np.append(np.flatnonzero(new), len(k)))
+        send = np.repeat(size > 1, size)
+        out = [(k[send], c[send], first[send])]
+        if key is not None and k[0] == key:  # the last key goes on
+            n = int(size[0])
+            head = (k[:n], c[:n], np.full(n, lead))
+            rest = send.copy()
+            rest[:n] = False
+            out = [head, (k[rest], c[rest], first[rest])]
+            if alone:
+                out.append((np.array([key]), np.array([lead]), np.array([lead])))
+            going = n == len(k)
+            key, lead, alone = k[-1], lead if going else first[-1], not going and size[-1] == 1
+        else:
+            key, lead, alone = k[-1], first[-1], size[-1] == 1
+        x = [np.concatenate(y) for y in zip(*out)]
+        if len(x[0]):
+            yield pa.record_batch([pa.array(y, pa.int64()) for y in x], names=["key", "c", "lead"])
 
 
 # --- 3: signature trees ----------------------------------------------------
@@ -419,8 +429,11 @@ def _blocks(sets: DataFrame, keys: list[str]) -> DataFrame:
     return sets.join(sizes, [*keys, "n"]).withColumn("block", F.floor(at / BLOCK).cast("int")).drop("many", "before")
 
 
-def _resolve_large(large: DataFrame, num: int, den: int) -> DataFrame:
-    """(c, label) of the sets of groups above `BLOCK` (comp, c, n, grams)."""
+def _resolve_large(large: DataFrame, shared: DataFrame, num: int, den: int) -> DataFrame:
+    """(c, label) of the sets of groups above `BLOCK` (comp, c1, c, n, grams).
+
+    ``shared`` (key, c) has the classes of each bin.
+    """
     sets = materialize(_blocks(large, ["comp"]), "blocks")
     alone = materialize(_by_group(sets.withColumn("g", F.xxhash64("comp", "block")).withColumn("label", F.col("c")),
                                   num, den).where("kind = 0").drop("kind"), "alone")
@@ -439,25 +452,42 @@ def _resolve_large(large: DataFrame, num: int, den: int) -> DataFrame:
         if most <= BLOCK:
             break
     merged = components(edges)
-    now = alone.select("comp", "c", "label").join(merged, alone["label"] == merged["node"], "left").select(
-        "comp", "c", F.coalesce(merged["label"], alone["label"]).alias("label"))
-    count = now.groupBy("comp", "label").agg(F.count(F.lit(1)).alias("many"))
-    main = count.groupBy("comp").agg(F.max(F.struct("many", "label")).alias("top")).select(
-        "comp", F.col("top.label").alias("main"))
-    marked = now.join(main, "comp").withColumn("rest", F.col("label") != F.col("main")).drop("main")
-    placed = materialize(_blocks(marked.join(sets.select("c", "n", "grams"), "c"), ["comp", "rest"]), "placed")
-    # blocks of the rest meet all blocks of fitting size
-    ends = placed.groupBy("comp", "rest", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    p, q = ends.where("rest").alias("p"), ends.alias("q")
-    pairs = p.join(q, F.col("p.comp") == F.col("q.comp")).where(
-        (~F.col("q.rest") | (F.col("p.block") <= F.col("q.block")))
-        & (den * F.col("p.hi") >= num * F.col("q.lo")) & (den * F.col("q.hi") >= num * F.col("p.lo"))).select(
-        F.col("p.comp").alias("comp"), F.col("p.block").alias("i"), F.col("q.rest").alias("r"),
-        F.col("q.block").alias("j"), F.xxhash64("p.comp", "p.block", "q.rest", "q.block").alias("g"))
-    sides = pairs.select("comp", F.lit(True).alias("rest"), F.col("i").alias("block"), "g").unionByName(
-        pairs.select("comp", F.col("r").alias("rest"), F.col("j").alias("block"), "g")).distinct()
-    met = _by_group(placed.join(sides, ["comp", "rest", "block"]), num, den)
-    last = materialize(met.where("kind = 1").select(F.col("c").alias("u"), F.col("label").alias("v")), "late")
+    now = materialize(alone.select("comp", "c", "label").join(merged, alone["label"] == merged["node"], "left").select(
+        "comp", "c", F.coalesce(merged["label"], alone["label"]).alias("label")), "merged")
+
+    # bins whose sets are not all in one part yet
+    part = now.join(sets.select("c", "c1", "n"), "c")
+    inside = materialize(shared.select("key", F.col("c").alias("c1")).join(part, "c1"), "inside")
+    bins = inside.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                     F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("who")).where("lo <> hi")
+    # bins with the same sets meet once
+    small = bins.where(F.col("many") <= BLOCK).groupBy("many", "who").agg(F.min("key").alias("key")).select("key")
+    here = inside.join(small, "key").select(F.col("key").alias("g"), "comp", "c", "label")
+    late = [_by_group(here.join(sets.select("c", "grams"), "c"), num, den)]
+
+    # sets of larger bins: those outside of the group's largest part meet all blocks of fitting size
+    wide = materialize(inside.join(bins.where(F.col("many") > BLOCK).select("key"), "key").select(
+        "comp", "c", "label", "n").distinct(), "wide")
+    if not wide.isEmpty():
+        count = wide.groupBy("comp", "label").agg(F.count(F.lit(1)).alias("many"))
+        main = count.groupBy("comp").agg(F.max(F.struct("many", "label")).alias("top")).select(
+            "comp", F.col("top.label").alias("main"))
+        marked = wide.join(main, "comp").withColumn("rest", F.col("label") != F.col("main")).drop("main")
+        placed = materialize(_blocks(marked, ["comp", "rest"]), "placed")
+        ends = placed.groupBy("comp", "rest", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        p, q = ends.where("rest").alias("p"), ends.alias("q")
+        pairs = p.join(q, F.col("p.comp") == F.col("q.comp")).where(
+            (~F.col("q.rest") | (F.col("p.block") <= F.col("q.block")))
+            & (den * F.col("p.hi") >= num * F.col("q.lo")) & (den * F.col("q.hi") >= num * F.col("p.lo"))).select(
+            F.col("p.comp").alias("comp"), F.col("p.block").alias("i"), F.col("q.rest").alias("r"),
+            F.col("q.block").alias("j"), F.xxhash64("p.comp", "p.block", "q.rest", "q.block").alias("g"))
+        sides = pairs.select("comp", F.lit(True).alias("rest"), F.col("i").alias("block"), "g").unionByName(
+            pairs.select("comp", F.col("r").alias("rest"), F.col("j").alias("block"), "g")).distinct()
+        late.append(_by_group(placed.join(sides, ["comp", "rest", "block"]).join(sets.select("c", "grams"), "c"), num, den))
+    last = None
+    for met in late:
+        found = met.where("kind = 1").select(F.col("c").alias("u"), F.col("label").alias("v"))
+        last = found if last is None else last.unionByName(found)
     final = components(last)
     return now.join(final, now["label"] == final["node"], "left").select(
         "c", F.coalesce(final["label"], now["label"]).alias("label"))
@@ -480,8 +510,10 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 4, den: int = 5, spar
         F.col("s") >= FREQUENT / 2 * total).select("c1").collect()], np.int64).view(np.uint64))
 
     bins = arrow_map(docs, lambda it: _signatures(it, n, num, den, spare, frequent), "key long, c long")
-    stars = arrow_map(bins.repartition("key").sortWithinPartitions("key", "c"), _stars, "u long, v long").distinct()
-    group = materialize(components(stars), "groups").select(F.col("node").alias("c1"), F.col("label").alias("comp"))
+    shared = materialize(arrow_map(bins.repartition("key").sortWithinPartitions("key", "c"), _shared,
+                                   "key long, c long, lead long"), "shared")
+    group = materialize(components(shared, "lead", "c"), "groups").select(
+        F.col("node").alias("c1"), F.col("label").alias("comp"))
 
     # the sets of the classes in a group, from one member of each
     classes = members.where("n > 0").groupBy("c1", "c2").agg(
@@ -498,20 +530,20 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 4, den: int = 5, spar
             r = np.flatnonzero((c1 == want[0]) & (c2 == want[1]))  # rows may share id and text hash
             name = np.stack([c1[r], c2[r]], 1).astype(">i8")
             yield pa.record_batch(
-                [pa.array(b.batch.column("comp").to_numpy()[r]),
+                [pa.array(b.batch.column("comp").to_numpy()[r]), pa.array(c1[r]),
                  pa.array([x.tobytes() for x in name], pa.binary()),
                  pa.array(np.diff(offsets)[r]),
                  pa.array([g[offsets[i]:offsets[i + 1]].tobytes() for i in r], pa.binary())],
-                names=["comp", "c", "n", "grams"])
+                names=["comp", "c1", "c", "n", "grams"])
 
-    sets = materialize(arrow_map(some, sets_of, "comp long, c binary, n long, grams binary").dropDuplicates(["c"]), "sets")
+    sets = materialize(arrow_map(some, sets_of, "comp long, c1 long, c binary, n long, grams binary").dropDuplicates(["c"]), "sets")
     size = sets.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
     sized = sets.join(size, "comp")
     small = sized.where(F.col("size").between(2, BLOCK)).withColumn("g", F.col("comp")).withColumn("label", F.col("c"))
     labels = _by_group(small, num, den).where("kind = 0").select("c", "label")
     large = sized.where(F.col("size") > BLOCK).drop("size")
     if not large.isEmpty():
-        labels = labels.unionByName(_resolve_large(large, num, den))
+        labels = labels.unionByName(_resolve_large(large, shared, num, den))
 
     code = F.concat(*(F.unhex(F.lpad(F.hex(x), 16, "0")) for x in ("c1", "c2")))
     named = materialize(labels, "labels")
