@@ -7,8 +7,9 @@ second smallest output, set against the size of a text, gives a score between 0
 and 1; below ``min_score`` the prediction counts as rejected.
 
 Training sample: per language at most about ``dict_bytes`` bytes, taken from the
-texts with the smallest hashes of their content; `training_sample` documents the
-bound. All languages found take part; nothing is dropped for being rare.
+distinct texts with the smallest hashes of their content; `training_sample`
+documents the bound. All languages found take part, each with a dictionary;
+nothing is dropped for being rare, copied often or very long.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0 and
 rejected; without training rows every text is `und`; equal sizes go to the
@@ -36,24 +37,56 @@ _OTHER = re.compile(r"[\W\d_]+")
 PIECE = 2048
 
 
-def training_sample(train: DataFrame, text_col: str, lang_col: str, dict_bytes: int) -> DataFrame:
-    """(lang, text) rows: per language the texts of smallest content hash, until
-    ``dict_bytes`` are reached (about four times as many are looked at).
+def smallest_hashes(rows: DataFrame, dict_bytes: int) -> DataFrame:
+    """(lang, h, size) of ``rows``: per task and language the distinct hashes,
+    ascending, until their sizes reach ``dict_bytes``.
+
+    Lists of two tasks merge into the list of both: what comes first among all
+    comes first in its own task. So no bound is guessed and no language is missed.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            code = b.column(0).dictionary_encode()
+            which, h, size = (x.to_numpy(zero_copy_only=False) for x in (code.indices, b.column(1), b.column(2)))
+            by_lang = np.argsort(which, kind="stable")
+            ends = np.cumsum(np.bincount(which, minlength=len(code.dictionary)))
+            for lang, at in zip(code.dictionary.to_pylist(), np.split(by_lang, ends[:-1])):
+                old = best.get(lang, (h[:0], size[:0]))
+                first, i = np.unique(np.concatenate([old[0], h[at]]), return_index=True)
+                sizes = np.concatenate([old[1], size[at]])[i]
+                n = int(np.searchsorted(np.cumsum(sizes) - sizes, dict_bytes))
+                best[lang] = first[:n], sizes[:n]
+        for lang, (h, size) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h), pa.array(size)],
+                                             names=["lang", "h", "size"])
+
+    return arrow_map(rows.select("lang", "h", "size"), run, "lang string, h long, size long")
+
 
-    Counts per language are summed first; only rows below a hash bound that
-    leaves a bounded number of bytes of each language go on, so a language with
-    most of the rows costs no more than a rare one. The counts are broadcast if
-    they are few, so that no other text leaves its task.
+def training_sample(train: DataFrame, text_col: str, lang_col: str, dict_bytes: int) -> DataFrame:
+    """(lang, text, before) rows: per language the distinct texts of smallest
+    content hash, until ``dict_bytes`` are reached; a text counts for at most
+    ``dict_bytes``, and copies of a text count once.
+
+    The hashes are picked first, without texts (`smallest_hashes`), so a language
+    with most of the rows costs no more than a rare one. They give the largest
+    hash taken of each language, broadcast if they are few, and only the texts up
+    to it leave their tasks, copies put together before.
     """
-    rows = train.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
+    rows = train.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn(
-        "h", F.shiftrightunsigned(F.xxhash64("text"), 1)).withColumn("size", F.octet_length("text"))
-    sizes = rows.groupBy("lang").agg(F.sum("size").cast("double").alias("bytes"))
-    near = rows.join(broadcast_if_small(sizes), "lang").where(
-        F.col("h") <= F.lit(float(2**63)) * F.least(F.lit(1.0), F.lit(4.0 * dict_bytes + 4e5) / F.col("bytes")))
-    order = Window.partitionBy("lang").orderBy("h", "text").rowsBetween(Window.unboundedPreceding, -1)
-    return near.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0))).where(
-        F.col("before") < dict_bytes).select("lang", F.substring("text", 1, dict_bytes).alias("text"), "before")
+        "h", F.shiftrightunsigned(F.xxhash64("text"), 1)).withColumn(
+        "size", F.least(F.octet_length("text"), F.lit(dict_bytes)).cast("long"))
+    order = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(order), F.lit(0))
+    picked = smallest_hashes(rows, dict_bytes).groupBy("lang", "h").agg(F.min("size").alias("size"))
+    bounds = picked.withColumn("before", before).where(F.col("before") < dict_bytes).groupBy("lang").agg(
+        F.max("h").alias("last"))
+    near = rows.join(broadcast_if_small(bounds), "lang").where(F.col("h") <= F.col("last"))
+    texts = near.groupBy("lang", "h").agg(F.min(F.substring("text", 1, dict_bytes)).alias("text"),
+                                          F.min("size").alias("size"))
+    return texts.withColumn("before", before).select("lang", "text", "before")
 
 
 def train_dictionaries(train: DataFrame, text_col: str = "text", lang_col: str = "lang",

@@ -104,3 +104,18 @@ def test_language_ids(spark, odd_docs):
     assert {r.lang_pred for r in odd if r.doc_id in (1, 2, 3, 99)} == {L.UNKNOWN}
     assert {r.lang_pred for r in L.identify(frame(spark, rows), {}).collect()} == {L.UNKNOWN}
     assert L.identify(frame(spark, []), d).collect() == []
+
+
+def test_every_language_has_a_dictionary(spark):
+    """Copies and very long texts take no room from a language's other texts."""
+    df = lambda rows: spark.createDataFrame(rows, "text string, lang string")
+    few = df([(f"{w}{i} " * 200, "copied") for i in range(30) for w in ["wort"]] + [("only one", "rare")])
+    copied = spark.range(1000).select(Q.F.repeat(Q.F.lit("kopie "), 20_000).alias("text"), Q.F.lit("copied").alias("lang"))
+    long = df([(f"{w} ", "long") for w in ("uno", "dos", "tres")]).select(
+        Q.F.repeat("text", 2_000_000).alias("text"), "lang")
+    train = few.union(copied).union(long)
+    sample = L.training_sample(train, "text", "lang", 4096).collect()
+    assert len({(r.lang, r.text) for r in sample}) == len(sample)
+    assert all(r.before < 4096 for r in sample)
+    d = L.train_dictionaries(train, dict_bytes=4096)
+    assert list(d) == ["copied", "long", "rare"] and len(d["copied"]) > 2000 and len(d["long"]) == 4096
