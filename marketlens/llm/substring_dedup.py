@@ -3,7 +3,8 @@
 The suffixes that begin at the anchors (see `repeats`) form a sparse suffix
 tree over the corpus. It is cut into subtrees by prefix: suffixes with the same
 first `PREFIX` words meet in a group, and a group too large for memory is
-divided by longer prefixes, up to a whole window. A subtree is kept as its
+divided by longer prefixes (of 13, then 18 words), whose groups are subtrees
+like any other; at last, by whole windows, told by their hashes. A subtree is kept as its
 leaves in suffix order with the common lengths of neighbours; a node of depth d
 is a run of leaves whose neighbours agree in d words. A second, like tree holds
 what precedes the anchors. Deep nodes of both give the maximal repeats: leaves
@@ -70,7 +71,7 @@ def _order(texts: list[bytes], off: np.ndarray):
     return *tree(right_words), *tree(left_words)
 
 
-PLAN = Plan(WINDOW, PREFIX, True, GROUP_LIMIT, 1 << 20, (1,), _units, _order)
+PLAN = Plan(WINDOW, PREFIX, True, GROUP_LIMIT, 1 << 20, (8, 3, 1), _units, _order)
 
 
 def remove_repeated_windows(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc_id",

@@ -57,3 +57,23 @@ def test_cut_texts_stay_texts(spark):
     out = {r.doc_id: r for r in suffix_array_dedup.without_repeats(frame(spark, rows)).collect()}
     assert out[1].text == "éx" and out[1].n_chars == 2 and out[3].text is None and out[4].text == ""
     assert out[2].units == "x" and list(out[2].asDict())[:2] == ["doc_id", "text"]
+
+
+def test_frequent_prefixes_reach_the_tree(spark, tmp_path):
+    """A prefix with too many classes is divided by longer ones, and its pairs are compared as leaves."""
+    rnd = random.Random(5)
+    words = lambda n: [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for i in range(0, 40, 2):
+        pair = [f"hot{k}" for k in range(8)] + words(20)
+        rows += [(i + k, " ".join([*words(15), *pair, *words(15)])) for k in range(2)]
+    mark, order = str(tmp_path / "hot"), substring_dedup.PLAN.order
+
+    def seen(texts, off):
+        if any(all(x.startswith(b"hot") for x in t.split()[o:o + 4]) for t, o in zip(texts, off)):
+            open(mark, "w").close()
+        return order(texts, off)
+
+    plan = replace(substring_dedup.PLAN, limit=3, order=seen)
+    assert run(frame(spark, rows), plan, b" ") == brute.word_windows(rows)
+    assert (tmp_path / "hot").exists()
