@@ -4,7 +4,8 @@ A text's paragraphs (its lines with a word) are classified by multinomial
 logistic regression over sparse word 1- to 3-grams of the licence notices. The
 training set is made here: sentences of the notices, alone, joined, shortened
 and set among words of the corpus, against paragraphs of a bounded sample of
-``sample_texts`` texts and sentences that merely sound alike; held-out examples
+``sample_texts`` texts (whole lines from all of each text, picked by content
+hash, see `background`) and sentences that merely sound alike; held-out examples
 then fit a temperature and the probability below which a paragraph counts as
 unknown. A family found must be confirmed by comparison with its templates: at
 least `MIN_COMMON` word pairs in common, and half of those of the shorter side.
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marketlens.llm.common import (ALNUM_WORD, LOWER, arrow_map, gram_hashes, out_batch, out_schema, table,
                                    text_batches, word_hashes, word_spans)
@@ -146,7 +148,7 @@ def examples(background: list[str], rng: np.random.Generator) -> tuple[list[str]
     """Training paragraphs with the number of their family (the last: unknown)."""
     families = sorted(NOTICES)
     spare = [w for p in background for w in p.split()] or ["text"]
-    some = lambda: " ".join(rng.choice(spare, rng.integers(1, 12)))
+    some = lambda: " ".join(spare[i] for i in rng.integers(0, len(spare), rng.integers(1, 12)))
     out, label = [], []
     for f, name in enumerate(families):
         for notice in NOTICES[name]:
@@ -251,13 +253,29 @@ def scan(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_
         df, keep, "n_paragraphs long, n_licensed long, families array<string>, family string, score double"))
 
 
-def background(df: DataFrame, text_col: str = "text", sample_texts: int = 300, limit: int = 2000) -> list[str]:
-    """Paragraphs of no licence, from the texts with the smallest content hashes (a bounded sample)."""
-    texts = df.select(F.substring(text_col, 1, 4000).alias("t")).where(F.length("t") > 0).orderBy(
-        F.xxhash64("t"), "t").limit(sample_texts).collect()
-    lines = sorted({x for r in texts for x in r["t"].split("\n") if x.strip()})[:4 * limit]
+def background(df: DataFrame, text_col: str = "text", sample_texts: int = 300, limit: int = 2000,
+               most_bytes: int = 4 << 20) -> list[str]:
+    """Paragraphs of no licence, from the distinct texts with the smallest content hashes (a bounded sample).
+
+    Of the distinct lines of these whole texts those with the smallest content
+    hashes are looked at, 4 * ``limit`` at most and until ``most_bytes`` are
+    reached; a line is never cut. The first ``limit`` of them that resemble no
+    notice are returned, so the bounds favour no script, place or spelling.
+    """
+    texts = df.select(F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h")).where(F.length("t") > 0)
+    # hashes first: only texts of the sample leave their tasks
+    last = texts.select("h").distinct().orderBy("h").limit(sample_texts).agg(F.max("h")).first()[0]
+    texts = texts.where(F.col("h") <= F.lit(last))
+    lines = texts.select(F.explode(F.split("t", "\n")).alias("line")).where(
+        F.col("line").rlike(r"\S")).distinct().withColumn("h", F.xxhash64("line"))
+    # at most 4 * limit rows, numbered in one task
+    few = lines.orderBy("h", "line").limit(4 * limit)
+    before = F.sum(F.octet_length("line")).over(Window.orderBy("h", "line").rowsBetween(Window.unboundedPreceding, -1))
+    picked = few.withColumn("before", F.coalesce(before, F.lit(0))).where(
+        F.col("before") < most_bytes).orderBy("h", "line").collect()
     known = np.unique(np.concatenate([grams(*words_of([n]), 2)[0] for v in NOTICES.values() for n in v]))
-    clean = [x for x in lines if np.isin(grams(*words_of([x]), 2)[0], known).sum() < MIN_COMMON]
+    clean = [r["line"] for r in picked
+             if r["line"].strip() and np.isin(grams(*words_of([r["line"]]), 2)[0], known).sum() < MIN_COMMON]
     return clean[:limit]
 
 

@@ -119,3 +119,17 @@ def test_every_language_has_a_dictionary(spark):
     assert all(r.before < 4096 for r in sample)
     d = L.train_dictionaries(train, dict_bytes=4096)
     assert list(d) == ["copied", "long", "rare"] and len(d["copied"]) > 2000 and len(d["long"]) == 4096
+
+
+def test_background_favours_no_script_or_place(spark):
+    lines = [f"{w} {i} story" for i in range(400) for w in ("Alpha", "beta", "история", "故事")]
+    long = "\n".join(["x" * 5000, *lines])
+    got = S.background(frame(spark, [(1, long), (2, None), (3, " \n")]), limit=200)
+    count = {w: sum(x.startswith(w) for x in got) for w in ("Alpha", "beta", "история", "故事")}
+    assert len(got) == 200 and set(got) <= set(long.split("\n"))
+    assert all(n >= 25 for n in count.values())
+    few = S.background(frame(spark, [(1, long)]), limit=200, most_bytes=1000)
+    assert few == got[:len(few)] and sum(len(x.encode()) for x in few[:-1]) < 1000
+    copied = frame(spark, [*((i, "one copied line") for i in range(50)), (99, "another line")])
+    assert sorted(S.background(copied, sample_texts=2)) == ["another line", "one copied line"]
+    assert S.background(frame(spark, [(1, None)])) == []
