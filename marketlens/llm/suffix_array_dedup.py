@@ -17,6 +17,8 @@ stays may begin or end inside a character; ``as_text`` drops such remains.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,12 +77,12 @@ def suffix_sort(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.where(same.all(1), rows.shape[1], same.argmin(1))
 
 
-def _order(texts: list[bytes], off: np.ndarray):
+def _order(texts: list[bytes], off: np.ndarray, window: int):
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes)
     data = np.frombuffer(b"".join(texts), np.uint8)
     anchor = (ends - sizes + off)[:, None]
-    step = np.arange(WINDOW)
+    step = np.arange(-(-window // Q) * Q)
     last = len(data) - 1
     right, left = anchor + step, anchor - 1 - step
     follow = np.where(right < ends[:, None], data[np.minimum(right, last)], 0).astype(np.uint8)
@@ -88,24 +90,29 @@ def _order(texts: list[bytes], off: np.ndarray):
     return *suffix_sort(np.ascontiguousarray(follow)), *suffix_sort(np.ascontiguousarray(before))
 
 
-PLAN = Plan(WINDOW, GRAM, False, GROUP_LIMIT, 1 << 18, (48, 8, 1), _units, _order)
+def plan(window: int = WINDOW) -> Plan:
+    """How strings of ``window`` bytes (at least `GRAM`) are found."""
+    if window < GRAM:
+        raise ValueError(f"window must be at least {GRAM} bytes")
+    return Plan(window, GRAM, False, GROUP_LIMIT, 1 << 18, (48, 8, 1), _units, partial(_order, window=window))
 
 
 def remove_repeated_bytes(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc_id",
-                          text_col: str = "text", as_text: bool = False) -> DataFrame:
+                          text_col: str = "text", as_text: bool = False, window: int = WINDOW) -> DataFrame:
     """``keep`` columns, n_units (bytes), n_removed, n_spans and kept (bytes or text) of every row."""
-    return remove_repeats(df, PLAN, keep, b"", id_col, text_col, as_text)
+    return remove_repeats(df, plan(window), keep, b"", id_col, text_col, as_text)
 
 
-def without_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def without_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """The rows of ``df`` with their texts cut, as they are otherwise (n_chars, if there, follows the text).
 
-    A null text stays null; a text that is one repeat becomes empty.
+    Bytes of strings of ``window`` bytes that occur elsewhere go. A null text
+    stays null; a text that is one repeat becomes empty.
     """
     others = [c for c in df.columns if c != text_col]
     rows = df.select(F.struct(*others, F.col(text_col).isNull().alias("_none")).alias("_row"), F.col(id_col),
                      F.col(text_col))
-    out = remove_repeated_bytes(rows, ("_row",), id_col, text_col, as_text=True)
+    out = remove_repeated_bytes(rows, ("_row",), id_col, text_col, as_text=True, window=window)
     text = F.when(~F.col("_row._none"), F.col("kept"))
     value = {text_col: text, "n_chars": F.length(text).cast(df.schema["n_chars"].dataType)} if "n_chars" in others else {
         text_col: text}

@@ -32,7 +32,7 @@ def test_stages(spark, tmp_path):
     after = [(d, kept[0][d].text) for d in sorted(kept[0])]
     comp = brute.jaccard_components(after, 5, 4, 5)
     assert set(kept[1]) == {c for _, _, c in comp}
-    cut = brute.byte_strings([(d, r.text) for d, r in kept[1].items()])
+    cut = brute.byte_strings([(d, r.text) for d, r in kept[1].items()], corpus_pipeline.REPEAT_BYTES)
     lost = {d for d, _, n, _, _ in cut if n}
     assert all((kept[2][d].text != kept[1][d].text) == (d in lost) for d in kept[1])
     items = [(r.item_id, r.text) for r in common.table(spark, SF, "benchmark").collect()]

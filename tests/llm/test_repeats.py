@@ -8,10 +8,11 @@ import brute
 import pytest
 from brute import frame
 
+import corpus_pipeline
 from marketlens.llm import repeats, substring_dedup, suffix_array_dedup
 
 CASES = {"words": (substring_dedup.PLAN, b" ", brute.word_windows),
-         "bytes": (suffix_array_dedup.PLAN, b"", brute.byte_strings)}
+         "bytes": (suffix_array_dedup.plan(), b"", brute.byte_strings)}
 
 
 def run(df, plan, joiner):
@@ -59,6 +60,30 @@ def test_cut_texts_stay_texts(spark):
     assert out[2].units == "x" and list(out[2].asDict())[:2] == ["doc_id", "text"]
 
 
+@pytest.mark.parametrize("window", [32, 100, 250])  # also no multiple of the refined grams
+@pytest.mark.parametrize("limit", [2, 10**6])
+def test_other_windows(spark, window, limit):
+    rows = made("bytes")
+    plan = replace(suffix_array_dedup.plan(window), limit=limit)
+    assert run(frame(spark, rows), plan, b"") == brute.byte_strings(rows, window)
+    with pytest.raises(ValueError):
+        suffix_array_dedup.plan(31)
+
+
+def test_passages_of_51_words(spark):
+    """Passages of some 315 bytes repeat across documents: the pipeline's window finds them, that of op10 does not."""
+    rnd = random.Random(8)
+    words = lambda n: " ".join("".join(rnd.choices("abcdefghijklm", k=rnd.randint(3, 8))) for _ in range(n))
+    passages = [words(51) for _ in range(6)]
+    assert all(250 < len(p) < 400 for p in passages)
+    rows = [(i, f"{words(40)} {passages[i % 6]} {words(60)}") for i in range(18)] + [(100 + i, words(120)) for i in range(6)]
+    out = {r.doc_id: r.text for r in suffix_array_dedup.without_repeats(
+        frame(spark, rows), window=corpus_pipeline.REPEAT_BYTES).collect()}
+    assert all(passages[i % 6] not in out[i] and len(out[i]) < len(rows[i][1]) - 240 for i in range(18))
+    assert all(out[i] == t for i, t in rows[18:])
+    assert {r.text for r in suffix_array_dedup.without_repeats(frame(spark, rows)).collect()} == {t for _, t in rows}
+
+
 def test_frequent_prefixes_reach_the_tree(spark, tmp_path):
     """A prefix with too many classes is divided by longer ones, and its pairs are compared as leaves."""
     rnd = random.Random(5)
