@@ -7,7 +7,9 @@ stage's input. The last stage returns the packed sequences.
 1. quality: documents that the adaptive rules reject go.
 2. ngram_join: one document of each group of near copies stays (five-word
    shingles, similarity 0.8 or more).
-3. suffix_array: bytes of strings of 400 bytes that occur elsewhere go.
+3. suffix_array: bytes of strings of `REPEAT_BYTES` bytes that occur elsewhere
+   go. Fifty-one words have some 315 bytes, so the 400 bytes of the query of
+   that operator would leave passages of over 50 words.
 4. decontamination: documents that hold benchmark passages go.
 5. packing: sequences of at most 4096 words, batches by length bucket.
 """
@@ -26,6 +28,9 @@ from marketlens.llm.packing import pack, word_counts
 from marketlens.llm.quality_rules import keep_good
 from marketlens.llm.suffix_array_dedup import without_repeats
 
+#: Bytes of a repeated string in the stage suffix_array.
+REPEAT_BYTES = 250
+
 _made: list[str] = []
 
 
@@ -44,7 +49,7 @@ def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]):
 STAGES = [
     ("quality", _stage(lambda spark, docs, sf_dir: keep_good(docs))),
     ("ngram_join", _stage(lambda spark, docs, sf_dir: one_of_each(docs, n=5, num=4, den=5))),
-    ("suffix_array", _stage(lambda spark, docs, sf_dir: without_repeats(docs))),
+    ("suffix_array", _stage(lambda spark, docs, sf_dir: without_repeats(docs, window=REPEAT_BYTES))),
     ("decontamination", _stage(lambda spark, docs, sf_dir: keep_clean(
         docs, common.table(spark, sf_dir, "benchmark")))),
     ("packing", _stage(lambda spark, docs, sf_dir: pack(common.materialize(
