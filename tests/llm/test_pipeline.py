@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 
 def test_registered():
-    names = {f"op{n}" for n in range(1, 11)}
+    names = {f"op{n}" for n in range(1, 14)}
     assert names <= {k.split("_")[0] for k in E.queries()} and "pipeline" in E.queries()
 
 
