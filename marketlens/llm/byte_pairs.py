@@ -19,9 +19,12 @@ token of each prefix holds all encodings:
 Special tokens in a text are cut out before the pattern applies. Decoding puts
 the tokens' bytes end to end; what is no UTF-8 becomes U+FFFD.
 
-Bounds: a worker keeps the ids of at most `KEPT` short pieces, and takes a text in
-parts of some `PART` characters, cut after a character that a blank follows, where
-a piece ends in any case. A piece needs four bytes for each of its own bytes.
+The new pieces of a block are taken in sorted order, so the table of a prefix that
+two of them share is made once.
+
+Bounds: a worker keeps the ids of `KEPT` short pieces and those of a block, and takes
+a text in parts of some `PART` characters, cut after a character that a blank follows,
+where a piece ends in any case. A piece needs ten bytes for each of its own bytes.
 
 Edge cases: a null or empty text (or null ids) has no tokens and decodes to an
 empty text; ids outside the vocabulary are an error; rows are encoded one by one,
@@ -33,6 +36,7 @@ from __future__ import annotations
 
 import codecs
 import json
+import struct
 from array import array
 from collections import deque
 from collections.abc import Iterator
@@ -46,7 +50,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import arrow_map, out_batch, out_schema, table, text_batches
 
 PART = 1 << 20
-KEPT = 300_000
+KEPT = 400_000
 #: Pieces of more characters are not kept.
 SHORT = 48
 NEVER = 1 << 40
@@ -194,9 +198,7 @@ class BytePairs:
         near = [-1] * len(sam.length)
         for v in sorted(range(1, len(near)), key=sam.length.__getitem__):
             near[v] = v if token[v] >= 0 else near[sam.link[v]]
-        self.step = {v << 8 | c: to for v, edges in enumerate(sam.step) for c, to in edges.items()}
-        self.link, self.length = sam.link, sam.length
-        self.token, self.near = token, near
+        self.step, self.link, self.length, self.token, self.near = sam.step, sam.link, sam.length, token, near
 
     def fits(self, a: int, b: int, before: int = NEVER) -> bool:
         """No merge earlier than ``before`` joins a part of a with a part of b."""
@@ -224,73 +226,118 @@ class BytePairs:
         """What a worker process keeps."""
         if not hasattr(self, "kept"):
             self.kept: dict[str, bytes] = {}
-            self.fitting: dict[int, bool] = {}
+            #: by token: whether it fits a token before it
+            self.fitting: list[dict[int, bool]] = [{} for _ in self.bytes]
+            self.known = 0
+            #: by state: the tokens that end in it and their lengths, longest first
+            self.ending: list[tuple[tuple[int, int], ...] | None] = [None] * len(self.length)
             self.late = late_characters()
             self.cuts = [regex.compile(pattern(late)) for late in (False, True)]
             self.blank = regex.compile(r"\S(?=\s)")
 
-    def piece(self, b: bytes) -> bytes:
-        """Ids (little-endian, 32 bits) of a piece of text."""
-        step, link, length, near, token, fitting = self.step, self.link, self.length, self.near, self.token, self.fitting
-        last = array("i", bytes(4 * (len(b) + 1)))
-        state = size = 0
-        for i, c in enumerate(b, 1):
-            while (to := step.get(state << 8 | c)) is None:
-                state = link[state]
-                size = length[state]
-            state, size = to, size + 1
-            v = near[state if size == length[state] else link[state]]
-            while True:  # tokens that end here, the longest first
-                t, begin = token[v], i - length[v]
-                if not begin:
-                    break
-                pair = last[begin] << 32 | t
-                fit = fitting.get(pair)
-                if fit is None:
-                    if len(fitting) >= 4 * KEPT:
-                        fitting.clear()
-                    fit = fitting[pair] = self.fits(last[begin], t)
-                if fit:
-                    break
-                v = near[link[v]]
-            last[i] = t
-        out, i = [], len(b)
-        while i:
-            t = last[i]
-            out.append(self.id[t])
-            i -= len(self.bytes[t])
-        return np.array(out[::-1], "<u4").tobytes()
-
-    def _part(self, text: str, a: int, b: int) -> bytes:
-        kept, parts = self.kept, []
-        late = not text.isascii() and self.late[np.frombuffer(text[a:b].encode("utf-32-le"), "<u4")].any()
-        for s in self.cuts[int(late)].findall(text, a, b):
-            ids = kept.get(s)
-            if ids is None:
-                ids = self.piece(s.encode())
-                if len(s) <= SHORT:
-                    if len(kept) >= KEPT:
-                        kept.clear()
-                    kept[s] = ids
-            parts.append(ids)
-        return b"".join(parts)
+    def _ending(self, state: int) -> tuple[tuple[int, int], ...]:
+        out, v = [], self.near[state]
+        while v >= 0:
+            out.append((self.token[v], self.length[v]))
+            v = self.near[self.link[v]]
+        self.ending[state] = tuple(out)
+        return self.ending[state]
+
+    def _fits(self, a: int, b: int) -> bool:
+        if self.known >= 4 * KEPT:
+            for d in self.fitting:
+                d.clear()
+            self.known = 0
+        self.known += 1
+        fit = self.fitting[b][a] = self.fits(a, b)
+        return fit
+
+    def pieces(self, pieces: list[bytes]) -> Iterator[bytes]:
+        """Ids (little-endian, 32 bits) of pieces in sorted order: what is known of the
+        prefixes that a piece shares with the one before is used again."""
+        step, link, length, ending, fitting = self.step, self.link, self.length, self.ending, self.fitting
+        last, states, sizes = array("i", [0]), array("i", [0]), array("H", [0])  # by prefix
+        old = b""
+        for b in pieces:
+            i, most = 0, min(len(old), len(b))
+            while i < most and old[i] == b[i]:
+                i += 1
+            del last[i + 1:], states[i + 1:], sizes[i + 1:]
+            state, size, old = states[i], sizes[i], b
+            for c in b[i:]:
+                i += 1
+                to = step[state].get(c)
+                while to is None:
+                    state = link[state]
+                    size = length[state]
+                    to = step[state].get(c)
+                state = to
+                size += 1
+                states.append(state)
+                sizes.append(size)
+                at = state if size == length[state] else link[state]
+                for t, n in ending[at] or self._ending(at):
+                    if n == i:
+                        break
+                    before = last[i - n]
+                    fit = fitting[t].get(before)
+                    if fit is None:
+                        fit = self._fits(before, t)
+                    if fit:
+                        break
+                last.append(t)
+            out = []
+            while i:
+                t = last[i]
+                out.append(self.id[t])
+                i -= len(self.bytes[t])
+            out.reverse()
+            yield struct.pack(f"<{len(out)}I", *out)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids (little-endian, 32 bits) of texts."""
+        self.ready()
+        kept, out = self.kept, [[] for _ in texts]
+        waiting: list[tuple[int, list[str]]] = []
+        size = 0
+
+        def settle() -> None:
+            if len(kept) > KEPT:
+                kept.clear()
+            new = sorted({p.encode() for _, pieces in waiting for p in pieces if p not in kept})
+            kept.update(zip((b.decode() for b in new), self.pieces(new)))
+            kept.update((s, struct.pack("<I", i)) for s, i in self.special.items())  # no piece has such a text
+            for r, pieces in waiting:
+                out[r].append(b"".join(map(kept.__getitem__, pieces)))
+            for b in new:
+                if len(b) > SHORT:
+                    del kept[b.decode()]
+            waiting.clear()
+
+        for r, text in enumerate(texts):
+            for plain, special in self._apart(text):
+                a, n = 0, len(plain)
+                while a < n:
+                    m = self.blank.search(plain, a + PART) if n - a > PART else None
+                    end = m.end() if m else n
+                    late = not plain.isascii() and self.late[
+                        np.frombuffer(plain[a:end].encode("utf-32-le"), "<u4")].any()
+                    waiting.append((r, self.cuts[int(late)].findall(plain, a, end)))
+                    size += end - a
+                    a = end
+                    if size >= PART:
+                        settle()
+                        size = 0
+                if special is not None:
+                    waiting.append((r, [special]))
+        settle()
+        return [b"".join(x) for x in out]
 
     def encode(self, text: str) -> bytes:
         """Ids (little-endian, 32 bits) of a text."""
-        self.ready()
-        out = []
-        for plain, special in self._apart(text):
-            a, n = 0, len(plain)
-            while a < n:
-                m = self.blank.search(plain, a + PART) if n - a > PART else None
-                b = m.end() if m else n
-                out.append(self._part(plain, a, b))
-                a = b
-            if special is not None:
-                out.append(np.array([special], "<u4").tobytes())
-        return b"".join(out)
-
-    def _apart(self, text: str) -> Iterator[tuple[str, int | None]]:
+        return self.encode_all([text])[0]
+
+    def _apart(self, text: str) -> Iterator[tuple[str, str | None]]:
         """Stretches between special tokens, each with the special token after it."""
         found = [s for s in self.special if s in text]
         if not found:
@@ -298,7 +345,7 @@ class BytePairs:
             return
         at = 0
         for m in regex.finditer("|".join(map(regex.escape, sorted(found, key=len, reverse=True))), text):
-            yield text[at:m.start()], self.special[m.group()]
+            yield text[at:m.start()], m.group()
             at = m.end()
         yield text[at:], None
 
@@ -335,7 +382,7 @@ def encode(df: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_c
         pairs = sent.value
         for b in text_batches(batches, "_t"):
             raw = b.data.tobytes()
-            ids = [pairs.encode(raw[x:y].decode()) for x, y in zip(b.offsets[:-1].tolist(), b.offsets[1:].tolist())]
+            ids = pairs.encode_all([raw[x:y].decode() for x, y in zip(b.offsets[:-1].tolist(), b.offsets[1:].tolist())])
             cols = {c: b.batch.column(c) for c in names}
             yield out_batch(pa.schema([*((c, x.type) for c, x in cols.items()), ("n_tokens", pa.int64()),
                                        ("ids", pa.binary())]), **cols, n_tokens=[len(x) // 4 for x in ids], ids=ids)

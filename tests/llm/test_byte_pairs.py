@@ -77,10 +77,13 @@ def test_kept_pieces_are_bounded(library, pairs, monkeypatch):
     monkeypatch.setattr(B, "KEPT", 3)
     pairs.ready()
     pairs.kept.clear()
-    pairs.fitting.clear()
-    text = " ".join(f"word{i} éa{i * 7}" for i in range(50))
-    assert ids_of(pairs, text) == library.encode(text, add_special_tokens=False).ids
-    assert len(pairs.kept) <= 3 and len(pairs.fitting) <= 12
+    pairs.known = 99
+    texts = [f"word{i} éa{i * 7} " + "long" * 20 for i in range(50)]
+    for text in texts:
+        assert ids_of(pairs, text) == library.encode(text, add_special_tokens=False).ids
+        assert len(pairs.kept) <= 12 and not any(len(p) > B.SHORT for p in pairs.kept)
+        assert sum(map(len, pairs.fitting)) == pairs.known <= 12
+    assert pairs.encode_all(texts) == [pairs.encode(t) for t in texts]
 
 
 def test_automaton_knows_all_factors():
