@@ -1,88 +1,41 @@
 """Exact quantiles (linear interpolation, as numpy/pandas and SQL
-``percentile_cont``) computed by a distributed plan.
+``percentile_cont``) by selection.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer, so one big group means one task holding millions of
-values. Here:
-
-1. values are counted per (group, value) — a map-side combined aggregate,
-   so a value repeated by a third of all rows becomes one row with a count;
-2. the (group, value) pairs are range-partitioned and sorted
-   (`ranking.range_sorted`); a running count is taken in one pass over each
-   range (rows already sorted there), plus the counts of the ranges before
-   it (a small per-range table, broadcast);
-3. each group learns its first running position and size, and for every
-   requested probability p the two neighbouring ranks floor/ceil of
-   p*(n-1) are picked by conditional aggregates over the rows whose count
-   interval holds them. Nothing per group is ever collected.
+aggregation buffer, so one big group means one task holding millions of values.
+Here the values at the neighbouring ranks floor / ceil of p * (n - 1) are selected
+(`operators.selection`): a sketch gives each group a bracket of values, a second scan
+counts the rows below and those inside. Rows are neither sorted nor written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.ranking import bounded_broadcast, join_on_keys, range_sorted
-
-
-def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """(group..., value, _w) with the number of rows per distinct value; nulls skipped."""
-    return (df.filter(F.col(value).isNotNull())
-              .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_w")))
-
-
-def running_counts(counts: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``_lo`` / ``_hi``: the 0-based rank interval [_lo, _hi) each
-    distinct value covers inside its group."""
-    by = list(by)
-    ranged = range_sorted(counts, [(b, True) for b in by] + [(value, True)], running_sum="_w")
-    per_range = ranged.groupBy("_pid").agg(F.sum("_w").alias("_pw"))  # one row per range
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select("_pid", F.coalesce(F.sum("_pw").over(before), F.lit(0)).alias("_woff"),
-                               F.sum("_pw").over(Window.partitionBy()).alias("_total"))
-    cum = (ranged.join(F.broadcast(offsets), "_pid")
-                 .withColumn("_cum", F.col("_cum_local") + F.col("_woff")))
-    if by:
-        starts = cum.groupBy(*by).agg(F.min(F.col("_cum") - F.col("_w")).alias("_start"),
-                                      F.sum("_w").alias("_n"))
-        # one row per group; with few groups no value is shuffled to its group's key
-        cum = join_on_keys(cum, bounded_broadcast(starts), by)
-    else:
-        # a single group: it starts at 0 and its size is the grand total
-        cum = cum.withColumn("_start", F.lit(0).cast("long")).withColumnRenamed("_total", "_n")
-    return (cum.withColumn("_hi", F.col("_cum") - F.col("_start"))
-               .withColumn("_lo", F.col("_hi") - F.col("_w"))
-               .drop("_pid", "_pos", "_woff", "_cum", "_cum_local", "_start", "_total"))
+from marketlens.operators.ranking import join_on_keys
+from marketlens.operators.selection import select_ranks
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-              by: Sequence[str] = (), digits: int | None = None) -> DataFrame:
-    """One row per group with one column per probability."""
-    by = list(by)
-    ranks = running_counts(value_counts(df.withColumn(value, F.col(value).cast("double")), value, by),
-                           value, by)
-    return quantiles_from_ranks(ranks, value, probs, names, by, digits)
+              by: Sequence[str] = (), digits: int | None = None, also: Sequence[Column] = ()) -> DataFrame:
+    """One row per group with one column per probability; null values do not count.
 
-
-def quantiles_from_ranks(ranks: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                         by: Sequence[str] = (), digits: int | None = None, extra=()) -> DataFrame:
-    """Quantile columns per group from `running_counts` output; ``extra``
-    aggregate columns (over the (value, ``_w``) rows) ride in the same pass."""
-    aggs, finals = [], []
-    for p, name in zip(probs, names):
-        pos = F.lit(float(p)) * (F.col("_n") - F.lit(1))
-        k_lo = F.floor(pos)
-        k_hi = F.ceil(pos)
-        holds_lo = (F.col("_lo") <= k_lo) & (k_lo < F.col("_hi"))
-        holds_hi = (F.col("_lo") <= k_hi) & (k_hi < F.col("_hi"))
-        aggs += [F.max(F.when(holds_lo, F.col(value))).alias(f"_{name}_a"),
-                 F.max(F.when(holds_hi, F.col(value))).alias(f"_{name}_b"),
-                 F.max(pos - k_lo).alias(f"_{name}_d")]
-        q = F.col(f"_{name}_a") + (F.col(f"_{name}_b") - F.col(f"_{name}_a")) * F.col(f"_{name}_d")
-        finals.append((F.round(q, digits) if digits is not None else q).alias(name))
-    extra = list(extra)
-    agg = ranks.groupBy(*by).agg(*aggs, *extra) if by else ranks.agg(*aggs, *extra)
-    extras = [c for c in agg.columns if c not in by and not c.startswith("_")]  # helpers start with "_"
-    return agg.select(*by, *finals, *extras)
+    ``also`` are aggregates (over the doubles of ``value``) that the first scan takes
+    along. A group without values has null quantiles.
+    """
+    by = list(by)
+    values = df.select(*by, F.col(value).cast("double").alias(value))
+    pos = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    picked, groups = select_ranks(values, by, [(F.floor(p), F.ceil(p)) for p in pos], value, also=also)
+    of = lambda i, c: F.max(F.when(F.col("_t") == i, F.col(c)))
+    wide = picked.groupBy(*by).agg(*[of(i, v).alias(f"_{n}_{v}") for i, n in enumerate(names) for v in ("v0", "v1")])
+    joined = join_on_keys(groups, F.broadcast(wide), by, "left") if by else groups.join(F.broadcast(wide))
+    out = []
+    for p, n in zip(pos, names):
+        q = F.col(f"_{n}_v0") + (F.col(f"_{n}_v1") - F.col(f"_{n}_v0")) * (p - F.floor(p))
+        out.append((F.round(q, digits) if digits is not None else q).alias(n))
+    extra = [c for c in groups.columns if c not in by and c != "_n"]
+    return joined.select(*by, *out, *extra)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import expr as X
 from marketlens.operators import quantiles as Q
 from marketlens.operators.pivot import pivot
-from marketlens.operators.ranking import bounded_broadcast
+from marketlens.operators.selection import small
 
 # fixed values: Q4 months, as the analysis names them
 Q4_MONTHS = (10, 11, 12)
@@ -58,23 +58,20 @@ def sales_describe(t) -> DataFrame:
     """count, mean, std, min, quartiles, max of the numeric columns, rounded
     to 2 decimals (half to even). Quartiles are exact and distributed.
 
-    Moments and extremes come from one pass of plain aggregates (the standard
-    deviation from Spark's merging of centred moments); the quartiles from the
-    counted distinct values of the three columns.
+    Moments and extremes ride along with the first scan of the quartiles (the
+    standard deviation from Spark's merging of centred moments).
     """
     s = t.sales
-    value = {c: F.col(c).cast("double") for c in DESCRIBE_COLUMNS}
-    row = s.agg(*[f(v).alias(f"{c}_{n}") for c, v in value.items() for n, f in (
-        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
-    moments = row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), *[F.col(f"{c}_{n}").alias(n) for n in ("count", "mean", "std", "min", "max")])
-        for c in DESCRIBE_COLUMNS])).alias("m")).select("m.*")
-    long = s.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), v.alias("value")) for c, v in value.items()])).alias("v")).select("v.*")
-    quarts = Q.quantiles(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by=["column_name"])
+    long = s.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in DESCRIBE_COLUMNS])))
+    found = Q.quantiles(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], by=["column_name"], also=[
+        f("value").alias(n) for n, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp),
+                                         ("min", F.min), ("max", F.max))])
     r = lambda c: F.bround(c, 2).alias(c)
-    return (moments.join(quarts, moments["name"] == quarts["column_name"], "left")
-            .select(F.col("name").alias("column_name"), "count",
+    # a table without rows still has its columns
+    names = s.sparkSession.createDataFrame([(c,) for c in DESCRIBE_COLUMNS], "column_name string")
+    return (names.join(found, "column_name", "left")
+            .select("column_name", F.coalesce("count", F.lit(0)).alias("count"),
                     *map(r, ("mean", "std", "min", "q25", "q50", "q75", "max")))
             .orderBy("column_name"))
 
@@ -160,26 +157,22 @@ def revenue_distribution(t) -> DataFrame:
     """Box-plot statistics per category (whiskers at 1.5 IQR), by median desc.
 
     Quartiles are exact; whiskers are the most extreme values inside the
-    fences and outliers count the rows beyond them.
+    fences and outliers count the rows beyond them, in one more scan.
     """
     s = t.sales.where(F.col("category").isNotNull()).select("category", F.col("revenue").cast("double").alias("value"))
-    ranks = Q.running_counts(Q.value_counts(s, "value", ["category"]), "value", ["category"])
-    quarts = Q.quantiles_from_ranks(ranks, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"],
-                                    by=["category"], digits=4)
+    quarts = Q.quantiles(s, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=["category"], digits=4, also=[
+        F.count("value").alias("count"), F.min("value").alias("min"), F.max("value").alias("max")])
     iqr = F.col("q3") - F.col("q1")
-    fences = quarts.select("*", (F.col("q1") - F.lit(1.5) * iqr).alias("lo_fence"),
-                           (F.col("q3") + F.lit(1.5) * iqr).alias("hi_fence"))
+    box, _ = small(quarts.where(F.col("count") > 0).select(
+        "*", (F.col("q1") - F.lit(1.5) * iqr).alias("lo_fence"), (F.col("q3") + F.lit(1.5) * iqr).alias("hi_fence")))
     inside = F.col("value").between(F.col("lo_fence"), F.col("hi_fence"))
-    # box statistics from the checkpointed (category, value, count) table
-    stats = (ranks.join(bounded_broadcast(fences), "category")
-             .groupBy("category", "q1", "median", "q3")
-             .agg(F.sum("_w").alias("count"),
-                  F.min("value").alias("min"), F.max("value").alias("max"),
-                  F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+    stats = (s.join(box.select("category", "lo_fence", "hi_fence"), "category").groupBy("category")
+             .agg(F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
                   F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-                  F.coalesce(F.sum(F.when(~inside, F.col("_w"))), F.lit(0)).alias("outliers")))
-    return stats.select("category", "count", "min", "q1", "median", "q3", "max",
-                        "whisker_low", "whisker_high", "outliers").orderBy(F.col("median").desc(), "category")
+                  F.count_if(~inside).alias("outliers")))
+    return (stats.join(box, "category")
+            .select("category", "count", "min", "q1", "median", "q3", "max", "whisker_low", "whisker_high", "outliers")
+            .orderBy(F.col("median").desc(), "category"))
 
 
 def region_by_category(t, categories=None) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import expr as X
 from marketlens.operators import ranking
 from marketlens.operators.pivot import pivot
+from marketlens.operators.selection import checkpointed, with_ntiles
 
 COMPLETED = "completed"
 
@@ -163,12 +164,13 @@ def rfm_segments(t, high_is_best: bool = False) -> DataFrame:
            .agg(F.max("order_date").alias("last_order_date"),
                 F.count(F.lit(1)).alias("frequency"),
                 F.sum("order_revenue").alias("monetary")))
-    raw = raw.join(t.customers.select("customer_id"), "customer_id", "left_semi")
+    # one narrow row per customer, read again for each key of the cuts
+    raw = checkpointed(raw.join(t.customers.select("customer_id"), "customer_id", "left_semi"))
     asc = high_is_best
-    scored = ranking.with_global_ntile(raw, [("last_order_date", asc), ("customer_id", True)], 3, "r_score")
-    scored = ranking.with_global_ntile(scored, [("frequency", asc), ("monetary", asc), ("customer_id", True)],
-                                       3, "f_score")
-    scored = ranking.with_global_ntile(scored, [("monetary", asc), ("customer_id", True)], 3, "m_score")
+    scored = with_ntiles(raw, {
+        "r_score": [("last_order_date", asc), ("customer_id", True)],
+        "f_score": [("frequency", asc), ("monetary", asc), ("customer_id", True)],
+        "m_score": [("monetary", asc), ("customer_id", True)]}, 3)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     fm = F.col("f_score") + F.col("m_score")
     # fixed values: thresholds and labels
@@ -177,7 +179,7 @@ def rfm_segments(t, high_is_best: bool = False) -> DataFrame:
                 .when((F.col("r_score") == 3) & (fm <= 3), "New Customers")
                 .when((F.col("r_score") <= 2) & (F.col("f_score") >= 2), "At Risk")
                 .otherwise("Need Attention"))
-    named = scored.join(t.customers.select("customer_id", "name"), "customer_id")  # names are not sorted along
+    named = scored.join(t.customers.select("customer_id", "name"), "customer_id")
     return (named.select(
         "customer_id", "name", "last_order_date", "frequency",
         X.money("monetary").alias("monetary"),
