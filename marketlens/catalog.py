@@ -68,6 +68,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "fact_payments": decimals_as_double(warehouse.fact_payments),
     "warehouse_row_counts": warehouse.warehouse_row_counts,
     "integrity_report": warehouse.integrity_report,
+    "shop_integrity_report": lambda t: warehouse.integrity_report(t, warehouse.SHOP_INTEGRITY_RULES),
     "warehouse_kpis": warehouse.warehouse_kpis,
     "warehouse_cohort_retention": warehouse.warehouse_cohort_retention,
     # --- KPIs and measures

@@ -105,6 +105,13 @@ def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
     return out
 
 
+def in_year(df: DataFrame, year: int | None) -> DataFrame:
+    """A fact cut to the folders of a purchase year, if it is laid out by month; all of it otherwise."""
+    if year is None or "order_month" not in df.columns:
+        return df
+    return df.filter(F.col("order_month").between(f"{year:04d}-01", f"{year:04d}-12"))
+
+
 def order_frame(t, year: int | None = None, states: Sequence[str] | None = None) -> DataFrame:
     """fact_orders in the slicer scope, with month_label and year added."""
     fo = t.fact_orders
@@ -113,8 +120,7 @@ def order_frame(t, year: int | None = None, states: Sequence[str] | None = None)
         # whole folders of a star written by `warehouse.write_star`
         start = lambda y: F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz")
         fo = fo.filter((F.col("order_purchase_ts") >= start(year)) & (F.col("order_purchase_ts") < start(year + 1)))
-        if "order_month" in fo.columns:
-            fo = fo.filter(F.col("order_month").between(f"{year:04d}-01", f"{year:04d}-12"))
+        fo = in_year(fo, year)
     if states:
         in_states = t.dim_customer.filter(F.col("customer_state").isin(*states)).select("customer_id")
         fo = fo.join(in_states, "customer_id", "left_semi")

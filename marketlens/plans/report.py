@@ -43,8 +43,9 @@ def _orders(t, year=None, states=None) -> DataFrame:
 
 
 def _items(t, year=None, states=None, categories=None) -> DataFrame:
-    """fact_order_items in scope, with item revenue."""
-    it = t.fact_order_items
+    """fact_order_items in scope, with item revenue. A year prunes the folders of a written
+    star on its own; the orders then decide row by row."""
+    it = M.in_year(t.fact_order_items, year)
     if year is not None or states:
         it = it.join(_orders(t, year, states).select("order_id"), "order_id", "left_semi")
     if categories:
@@ -254,7 +255,7 @@ def top_routes(t, n: int | None = 10, year=None, states=None) -> DataFrame:
 
 # ------------------------------------------------------------- page 5
 def _payments(t, year=None, states=None) -> DataFrame:
-    p = t.fact_payments
+    p = M.in_year(t.fact_payments, year)
     if year is not None or states:
         p = p.join(_orders(t, year, states).select("order_id"), "order_id", "left_semi")
     return p

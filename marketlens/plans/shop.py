@@ -44,16 +44,21 @@ def _order_totals(t) -> DataFrame:
 def monthly_revenue(t) -> DataFrame:
     """Completed orders by payment month: orders, revenue, mean *line* value.
 
-    The average is over order lines, not orders, as in the original query.
+    The average is over order lines, not orders, as in the original query. Lines are
+    rolled up per order before they meet the payments; an order with several
+    payments counts in each payment's month, its lines once for each payment.
     """
-    items = t.order_items.select("order_id", "line_revenue")
     completed = _completed_orders(t).select("order_id")
-    pay = t.payments.select("order_id", X.month_start("payment_date").alias("month"))
-    lines = items.join(completed, "order_id", "left_semi").join(pay, "order_id")
-    return (lines.groupBy("month")
-            .agg(F.count_distinct("order_id").alias("total_orders"),
-                 X.money(F.sum("line_revenue")).alias("gross_revenue"),
-                 X.money_mean(F.sum("line_revenue"), F.count("line_revenue")).alias("avg_order_value"))
+    totals = t.order_items.groupBy("order_id").agg(
+        F.sum("line_revenue").alias("total"), F.count("line_revenue").alias("lines"))
+    paid = (t.payments.join(completed, "order_id", "left_semi")
+            .groupBy("order_id", X.month_start("payment_date").alias("month"))
+            .agg(F.count(F.lit(1)).alias("times")))
+    each = lambda c: F.sum(F.col(c) * F.col("times"))
+    return (paid.join(totals, "order_id").groupBy("month")  # one row per order and month
+            .agg(F.count(F.lit(1)).alias("total_orders"),
+                 X.money(each("total")).alias("gross_revenue"),
+                 X.money_mean(each("total"), each("lines")).alias("avg_order_value"))
             .orderBy("month"))
 
 

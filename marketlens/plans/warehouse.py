@@ -7,19 +7,22 @@ Facts: fact_orders (order grain), fact_order_items, fact_payments.
 fact_orders is built from three order-grain pre-aggregations (items,
 payments, latest review), each already hash-partitioned on ``order_id``
 by its own aggregation, so the three left joins to the orders add one
-shuffle of the orders and no fan-out. ``write_star`` lays fact_orders out
-by purchase month so date-bounded reads prune whole folders.
+shuffle of the orders and no fan-out. ``write_star`` lays the facts out by
+purchase month, so date-bounded reads prune whole folders, and writes single
+months anew; ``save_star`` also buckets them by order.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
+from marketlens.operators.constraints import check_constraints
 from marketlens.operators.pivot import pivot
 from marketlens.operators.ranking import materialize_small
 from marketlens.sources import schemas
@@ -142,25 +145,86 @@ STAR_BUILDERS = {
 }
 
 
-def write_star(t, folder: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write the seven star tables; fact_orders laid out by purchase month."""
-    dated = {"fact_orders": ("order_purchase_ts", "order_month", "order_id")}
+#: Facts are laid out by the order's purchase month: sort keys within a month.
+LAYOUT = {"fact_orders": ("order_purchase_ts", "order_id"), "fact_order_items": ("order_id", "order_item_id"),
+          "fact_payments": ("order_id", "payment_sequential")}
+MONTH = "order_month"
+
+
+def with_order_month(t, name: str) -> DataFrame:
+    """A fact with the purchase month of its order ('yyyy-MM'; null for rows of no order)."""
+    df = t[name]
+    if MONTH in df.columns:
+        return df
+    if name == "fact_orders":
+        return df.withColumn(MONTH, X.month_label("order_purchase_ts"))
+    months = t.fact_orders.groupBy("order_id").agg(X.month_label(F.min("order_purchase_ts")).alias(MONTH))
+    return df.join(months, "order_id", "left")
+
+
+def write_star(t, folder: str, fmt: str = "parquet", mode: str = "overwrite",
+               months: Sequence[str] | None = None) -> dict[str, int]:
+    """Write the seven star tables, the three facts laid out by purchase month.
+
+    Each fact is range-partitioned on (month, keys), so writers stay balanced even when
+    one month holds most orders, and each month's rows arrive sorted (tight row-group
+    bounds). With ``months`` only those months of the facts are written anew and the
+    files of all others stay; a named month that has no rows any more is emptied.
+
+    Returns the rows written per table, observed while writing (no scan of their own).
+    """
+    spark = t.spark
+    counts: dict[str, int] = {}
     for name in STAR_BUILDERS:
+        path = os.path.join(folder, name if fmt == "csv" else f"{name}.parquet")
         df = t[name]
+        by_month = name in LAYOUT and (fmt != "csv" or name == "fact_orders")
+        if by_month:
+            df = with_order_month(t, name)
+            if months is not None:
+                df = df.where(F.col(MONTH).isin(*months))
+            keys = [MONTH, *LAYOUT[name]]
+            df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        seen = Observation(name)
+        wanted = list(months or ()) if by_month else []
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                        *[F.count_if(F.col(MONTH) == m).alias(f"m{i}") for i, m in enumerate(wanted)])
         w = df.write.mode(mode)
-        if name in dated:
-            # range-partition on (month, time, id): writers stay balanced even
-            # when one month holds most orders, and each month's rows arrive
-            # sorted by time (tight row-group min/max for date filters)
-            ts, month, key = dated[name]
-            keys = [month, ts, key]
-            df = df.withColumn(month, X.month_label(ts))
-            w = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                   .write.mode(mode).partitionBy(month))
+        if by_month:
+            w = w.partitionBy(MONTH)
+            if months is not None:
+                w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if fmt == "csv":
-            w.option("header", True).csv(os.path.join(folder, name))
+            w.option("header", True).csv(path)
         else:
-            w.parquet(os.path.join(folder, f"{name}.parquet"))
+            w.parquet(path)
+        counts[name] = seen.get["rows"]
+        for i, m in enumerate(wanted):
+            if not seen.get[f"m{i}"]:
+                _remove(spark, os.path.join(path, f"{MONTH}={m}"))
+    return counts
+
+
+def _remove(spark, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def save_star(t, folder: str, prefix: str = "star_", buckets: int = 64) -> None:
+    """The star as catalog tables below ``folder``: facts by purchase month, and within it in
+    ``buckets`` by order, sorted. Joins and groupings of the facts on ``order_id`` then
+    read bucket by bucket, without a shuffle. Take some 200 MB a bucket of the whole fact.
+
+    Read them back with ``Tables.from_catalog``.
+    """
+    for name in STAR_BUILDERS:
+        df = with_order_month(t, name) if name in LAYOUT else t[name]
+        if name in LAYOUT:  # one writer a bucket: no more files than buckets in a month
+            w = df.repartition(buckets, "order_id").write.bucketBy(buckets, "order_id").sortBy("order_id")
+            w = w.partitionBy(MONTH)
+        else:
+            w = df.write
+        w.mode("overwrite").format("parquet").option("path", os.path.join(folder, name)).saveAsTable(prefix + name)
 
 
 # ------------------------------------------------------------------ checks
@@ -168,11 +232,19 @@ RAW_TABLES = ("raw_customers", "raw_sellers", "raw_products", "raw_orders", "raw
               "raw_order_payments", "raw_order_reviews", "raw_category_translation")
 
 
+#: Star tables that hold the rows of a raw table under the same names: derived, they need no scan of their own.
+SAME_ROWS = {"fact_order_items": "raw_order_items", "fact_payments": "raw_order_payments", "dim_seller": "raw_sellers"}
+
+
 def warehouse_row_counts(t) -> DataFrame:
-    """Rows per raw table read and per star table written."""
-    names = list(RAW_TABLES) + list(STAR_BUILDERS)
-    parts = [t[n].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-             for n in names]
+    """Rows per raw table read and per star table; a table is scanned once, also for those
+    that hold its rows. (`write_star` returns its counts without a scan.)"""
+    same = {star: raw for star, raw in SAME_ROWS.items() if star not in t._builders}
+    shown: dict[str, list[str]] = {}
+    for n in (*RAW_TABLES, *STAR_BUILDERS):
+        shown.setdefault(same.get(n, n), []).append(n)
+    parts = [t[n].agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.explode(F.array(*map(F.lit, under))).alias("table_name"), "row_count") for n, under in shown.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -238,60 +310,22 @@ SHOP_INTEGRITY_RULES = [
 ]
 
 
-def _violations(t, table: str, kind: str, args) -> DataFrame:
-    """Violations of a key rule: extra rows per key, or orphan references."""
-    df = t[table]
-    if kind == "unique":
-        # rows beyond the first per key; the per-key count is map-side combined
-        dup = df.groupBy(*args).agg(F.count(F.lit(1)).alias("n"))
-        return dup.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("violations"))
-    if kind == "fk":
-        col, parent, pcol = args
-        parent_keys = t[parent].select(F.col(pcol).alias(col))
-        orphans = df.filter(F.col(col).isNotNull()).join(parent_keys, col, "left_anti")
-        return orphans.agg(F.count(F.lit(1)).alias("violations"))
-    raise ValueError(kind)
-
-
-def _row_rule(kind: str, args):
-    """Per-row violation flag of a not-null or check rule."""
-    if kind == "not_null":
-        return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in args])
-    return ~F.coalesce(F.expr(args), F.lit(True))  # a CHECK passes on null
-
-
 def integrity_report(t, rules=INTEGRITY_RULES) -> DataFrame:
     """One row per declared rule with the number of rows breaking it.
 
-    Row-level rules (not null, check) of one table share a single scan;
-    key rules (unique, foreign key) are one aggregate or anti join each.
-    A star table that is still derived from the raw layer is reduced to the
-    columns of its rules and written once, instead of running the ETL for each.
+    One scan per table and one aggregate for all rules (`operators.constraints`); of a star
+    table that is still derived from the raw layer only the columns of its rules are built.
+    Tables read with rejects add a rule ``readable`` for each raw table: its rejected records.
     """
-    used: dict[str, set] = {}
-    for table, _, kind, args in rules:
-        used.setdefault(table, set()).update(
-            args[:1] if kind == "fk" else args if kind in ("unique", "not_null") else t[table].columns)
-        if kind == "fk":
-            used.setdefault(args[1], set()).add(args[2])
-    derived = [table for table in used if table in STAR_BUILDERS and table not in t._builders]
-    t = {table: (materialize_small(t[table].select(*sorted(cols))) if table in derived else t[table])
-         for table, cols in used.items()}
-    parts = []
-    row_rules: dict[str, list] = {}
-    for table, rule, kind, args in rules:
-        if kind in ("not_null", "check"):
-            row_rules.setdefault(table, []).append((rule, kind, args))
-        else:
-            parts.append(_violations(t, table, kind, args).select(
-                F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"))
-    for table, rs in row_rules.items():
-        counts = t[table].agg(*[F.count_if(_row_rule(kind, args)).alias(f"v{i}")
-                                for i, (_, kind, args) in enumerate(rs)])
-        parts.append(counts.select(F.explode(F.array(*[
-            F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), F.col(f"v{i}").alias("violations"))
-            for i, (rule, _, _) in enumerate(rs)])).alias("r")).select("r.*"))
-    return reduce(DataFrame.unionByName, parts)
+    same = {star: raw for star, raw in SAME_ROWS.items() if star not in t._builders}
+    report = check_constraints(lambda name: t[name], rules, same)
+    if "rejects" not in t._builders:
+        return report
+    names = sorted({r[0] for r in rules if r[0].startswith("raw_")})
+    counts = t.rejects.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    listed = t.spark.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("table_name"))
+    return report.unionByName(listed.join(F.broadcast(counts), "table_name", "left").select(  # a row per table
+        "table_name", F.lit("readable").alias("rule"), F.coalesce("n", F.lit(0)).alias("violations")))
 
 
 # ------------------------------------------------------------------ KPIs

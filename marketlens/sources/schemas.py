@@ -87,6 +87,25 @@ RAW_FILES = {
     "raw_sellers": "sellers.csv",
     "raw_category_translation": "product_category_name_translation.csv",
 }
+# the one raw table whose texts hold line breaks: its file cannot be split
+MULTILINE = ("raw_order_reviews",)
+
+
+def raw_file_names(found: list[str]) -> dict[str, str]:
+    """Raw tables and their files among the names of a folder: the name itself, or else
+    the one that holds it (an export may put something before and after)."""
+    csv = [n for n in found if n.endswith(".csv")]
+    stem = {t: f[:-len(".csv")] for t, f in RAW_FILES.items()}
+    out = {t: f for t, f in RAW_FILES.items() if f in csv}
+    for table in sorted(stem, key=lambda t: -len(stem[t])):  # order_items before orders
+        if table in out:
+            continue
+        fits = [n for n in csv if stem[table] in n and n not in out.values()]
+        if len(fits) > 1:
+            raise ValueError(f"{table}: which of {sorted(fits)}?")
+        out |= {table: n for n in fits}
+    return out
+
 
 # --- star layer written by the warehouse ETL
 STAR = {

@@ -17,13 +17,25 @@ the raw marketplace tables by the warehouse ETL on first use.
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marketlens.sources import schemas, testdata
 
+_RECORD = "_record"  # the text of a record that does not fit
+
+
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any store that Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return [f.getPath().getName() for f in
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
+
 
 class Tables:
     def __init__(self, spark: SparkSession, builders: dict[str, Callable[[], DataFrame]] | None = None):
@@ -113,20 +125,47 @@ class Tables:
         return cls(spark, {n: reader(n) for n in schemas.SHOP})
 
     @classmethod
-    def from_marketplace_csv(cls, spark: SparkSession, folder: str, files: dict[str, str] | None = None) -> "Tables":
+    def from_marketplace_csv(cls, spark: SparkSession, folder: str, files: dict[str, str] | None = None,
+                             rejects: bool = False) -> "Tables":
         """Raw marketplace export. Empty text reads as null; quoted texts may hold
-        line breaks and doubled quotes; a value that does not fit its column is
-        an error. ``files`` maps raw tables to file names other than
-        `schemas.RAW_FILES`."""
-        names = {**schemas.RAW_FILES, **(files or {})}
+        doubled quotes, those of the reviews also line breaks (that file is read
+        whole, all others in splits). Files are found by name
+        (`schemas.raw_file_names`); ``files`` maps raw tables to other names.
 
-        def reader(name: str):
-            return lambda: (spark.read.schema(schemas.RAW[name]).option("header", True)
-                            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-                            .option("emptyValue", None).option("nullValue", "")
-                            .option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
-                            .csv(os.path.join(folder, names[name])))
-        return cls(spark, {n: reader(n) for n in schemas.RAW})
+        A record that does not fit its columns is an error; with ``rejects`` it is
+        left out of its table instead and kept in the table ``rejects``
+        (table_name, record), which `warehouse.integrity_report` counts.
+        """
+        names = {**schemas.RAW_FILES, **schemas.raw_file_names(_listed(spark, folder)), **(files or {})}
+
+        def read(name: str):
+            r = (spark.read.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+                 .option("emptyValue", None).option("nullValue", "").option("escape", '"')
+                 .option("multiLine", name in schemas.MULTILINE))
+            path = os.path.join(folder, names[name])
+            if not rejects:
+                return r.schema(schemas.RAW[name]).option("mode", "FAILFAST").csv(path)
+            return (r.schema(StructType([*schemas.RAW[name].fields, StructField(_RECORD, StringType())]))
+                    .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD)
+                    .csv(path))
+
+        def parted(name: str, fits: bool) -> DataFrame:
+            df = read(name)
+            # a condition that is always true and names all columns: a scan of some of them would
+            # only see what is bad in those, and one of the record column alone is refused
+            whole = F.xxhash64(*schemas.RAW[name].names) % 2 < 2
+            return df.where((F.col(_RECORD).isNull() if fits else F.col(_RECORD).isNotNull()) & whole)
+
+        def good(name: str):
+            return lambda: parted(name, True).drop(_RECORD) if rejects else read(name)
+
+        def bad() -> DataFrame:
+            parts = [parted(n, False).select(F.lit(n).alias("table_name"), F.col(_RECORD).alias("record"))
+                     for n in schemas.RAW if n in present]
+            return reduce(DataFrame.unionByName, parts)
+
+        present = {*schemas.raw_file_names(_listed(spark, folder)), *(files or {})}
+        return cls(spark, {n: good(n) for n in schemas.RAW} | ({"rejects": bad} if rejects else {}))
 
     @classmethod
     def from_sales_csv(cls, spark: SparkSession, path: str) -> "Tables":
@@ -140,8 +179,22 @@ class Tables:
 
         Without ``names`` the folder is listed through Spark's file system."""
         if names is None:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
-            names = [n[:-len(".parquet")] for n in (f.getPath().getName() for f in found) if n.endswith(".parquet")]
+            names = [n[:-len(".parquet")] for n in _listed(spark, folder) if n.endswith(".parquet")]
         return cls(spark, {n: (lambda n=n: spark.read.parquet(os.path.join(folder, f"{n}.parquet")))
                            for n in names})
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, prefix: str = "star_") -> "Tables":
+        """The star tables that `warehouse.save_star` has put into the catalog."""
+        return cls(spark, {n: (lambda n=n: spark.table(prefix + n)) for n in schemas.STAR
+                           if spark.catalog.tableExists(prefix + n)})
+
+    def create_views(self, names=None) -> None:
+        """Temporary views of the tables (all that were supplied, or ``names``), for `sql`."""
+        for name in names or self._builders:
+            self[name].createOrReplaceTempView(name)
+
+    def sql(self, text: str, **params) -> DataFrame:
+        """A query over the tables: ``{name}`` stands for a table, ``:name`` for a parameter's value."""
+        used = {f for _, f, _, _ in string.Formatter().parse(text) if f}
+        return self.spark.sql(text, args=params or None, **{n: self[n] for n in used})

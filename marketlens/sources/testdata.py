@@ -61,14 +61,16 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id,
                           WHEN 'P' THEN 'refunded' END AS status
 FROM {orders}""",
     "order_items": f"""
-SELECT l_orderkey AS order_id, l_partkey AS product_id,
+SELECT l_orderkey * 8 + l_linenumber AS item_id, l_orderkey AS order_id, l_partkey AS product_id,
        CAST(l_quantity AS INT) AS quantity,
+       CAST(l_extendedprice / l_quantity AS DECIMAL(12,2)) AS unit_price,
        {_d('l_extendedprice')} AS line_revenue
 FROM {{lineitem}}""",
     "payments": f"""
 SELECT l_orderkey AS payment_id, l_orderkey AS order_id,
        MIN(CAST(l_shipdate AS DATE)) AS payment_date,
-       CAST(SUM({_d('l_extendedprice')}) AS DECIMAL(18,2)) AS amount
+       CAST(SUM({_d('l_extendedprice')}) AS DECIMAL(18,2)) AS amount,
+       CASE MIN(l_returnflag) WHEN 'A' THEN 'card' WHEN 'N' THEN 'paypal' WHEN 'R' THEN 'transfer' END AS method
 FROM {{lineitem}}
 WHERE l_linestatus = 'F'
 GROUP BY l_orderkey""",
