@@ -133,24 +133,24 @@ def revenue_by_category(t) -> DataFrame:
     ).orderBy(F.col("revenue").desc(), "category"))
 
 
-def seasonality_matrix(t, years=None) -> DataFrame:
+def seasonality_matrix(t, years=None, expected=()) -> DataFrame:
     """Calendar month (Jan..Dec) x one column per year, revenue summed.
 
-    ``years`` declares the columns (`pivot`)."""
+    ``years`` declares the columns, ``expected`` are there in any case (`pivot`)."""
     per = (t.sales.where(F.col("date").isNotNull())
            .groupBy(F.month("date").alias("month"), F.year("date").alias("year"))
            .agg(F.sum("revenue").cast("double").alias("revenue")))
-    wide = pivot(per, "month", "year", F.first("revenue"), years)
+    wide = pivot(per, "month", "year", F.first("revenue"), years, expected)
     return (wide.withColumn("month_name", F.date_format(F.make_date(F.lit(2000), F.col("month"), F.lit(1)), "MMM"))
                 .orderBy("month"))
 
 
-def channel_by_month(t, channels=None) -> DataFrame:
-    """Month x channel revenue; ``channels`` declares the columns (`pivot`)."""
+def channel_by_month(t, channels=None, expected=()) -> DataFrame:
+    """Month x channel revenue; ``channels`` and ``expected`` as in `pivot`."""
     per = (t.sales.where(F.col("date").isNotNull())
            .groupBy(X.month_label("date").alias("month_label"), "channel")
            .agg(F.sum("revenue").cast("double").alias("revenue")))
-    return pivot(per, "month_label", "channel", F.first("revenue"), channels).orderBy("month_label")
+    return pivot(per, "month_label", "channel", F.first("revenue"), channels, expected).orderBy("month_label")
 
 
 def revenue_distribution(t) -> DataFrame:
@@ -175,13 +175,13 @@ def revenue_distribution(t) -> DataFrame:
             .orderBy(F.col("median").desc(), "category"))
 
 
-def region_by_category(t, categories=None) -> DataFrame:
+def region_by_category(t, categories=None, expected=()) -> DataFrame:
     """Region x category revenue, missing cells 0, regions by total desc.
 
-    ``categories`` declares the columns (`pivot`)."""
+    ``categories`` declares the columns, ``expected`` are there in any case (`pivot`)."""
     per = (t.sales.where(F.col("region").isNotNull()).groupBy("region", "category")
            .agg(F.sum("revenue").cast("double").alias("revenue")))
-    wide = pivot(per, "region", "category", F.first("revenue"), categories).fillna(0.0)
+    wide = pivot(per, "region", "category", F.first("revenue"), categories, expected).fillna(0.0)
     cats = [c for c in wide.columns if c != "region"]
     total = sum((F.col(f"`{c}`") for c in cats), F.lit(0.0))
     return wide.withColumn("_total", total).orderBy(F.col("_total").desc(), "region").drop("_total")

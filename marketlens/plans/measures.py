@@ -17,11 +17,14 @@ order pipeline is joined in.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
+from marketlens.operators.distinct import bitmaps, dense_ids, distinct_counts, sketch_counts, sketches
+from marketlens.operators.ranking import join_on_keys
 
 MEASURES = (
     "total_revenue", "orders", "avg_order_value", "total_items", "avg_items_per_order",
@@ -37,7 +40,7 @@ def _div(a, b):
 
 def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
              names: Sequence[str] | None = None, extra_sums: dict | None = None,
-             customers: DataFrame | None = None) -> DataFrame:
+             customers: DataFrame | None = None, repeated: bool = False) -> DataFrame:
     """All report measures per ``by`` group.
 
     ``df`` is at order grain (one row per order). ``period`` names the
@@ -46,7 +49,13 @@ def measures(df: DataFrame, by: Sequence[str] = (), period: str | None = None,
     maps an output name to a per-order Column that is summed in the same
     two aggregations. ``customers`` has those of the ``by`` columns that go
     with the customer (customer_id first); it meets the rollup, not the orders.
+    Order ids are counted by their rows, which is their distinct count as long as
+    ``df`` holds an order once (`warehouse.integrity_report` checks it); with
+    ``repeated`` a repeated order counts once in all measures, at the price of a
+    shuffle of the orders.
     """
+    if repeated:
+        df = df.dropDuplicates(["order_id"])
     by = list(by)
     extra_sums = dict(extra_sums or {})
     own = [c for c in by if customers is None or c not in customers.columns]
@@ -139,6 +148,37 @@ def measures_by_state(t, **scope) -> DataFrame:
                     customers=states).orderBy("customer_state", "year")
 
 
+LEVELS = {"month_state": ("month_label", "customer_state"), "month": ("month_label",), "state": ("customer_state",),
+          "all": ()}
+
+
+def distinct_rollup(t, approximate: bool = False, **scope) -> DataFrame:
+    """Distinct orders and customers per month and state, per month, per state and over all.
+
+    The orders are read once: bitmaps of the finest groups are OR-ed to those of the
+    coarser ones (`operators.distinct`). Repeated orders count once. ``approximate``
+    takes sketches instead, which need no numbering of the ids.
+    """
+    states = t.dim_customer.select("customer_id", "customer_state")
+    fo = order_frame(t, **scope).select("order_id", "customer_id", "month_label").join(states, "customer_id", "left")
+    finest = LEVELS["month_state"]
+    parts = {}
+    for key, name, cluster in (("order_id", "orders", "month_label"), ("customer_id", "customers", "customer_state")):
+        if approximate:
+            parts[name] = sketches(fo, finest, key)
+        else:
+            numbers = dense_ids(fo, key, "_no", [cluster])
+            parts[name] = bitmaps(fo.join(numbers, key), finest, "_no")
+    count = sketch_counts if approximate else distinct_counts
+    out = []
+    for level, by in LEVELS.items():
+        orders, customers = (count(parts[n], by, n) for n in ("orders", "customers"))
+        both = join_on_keys(orders, customers, by) if by else orders.join(F.broadcast(customers))  # one row each
+        out.append(both.select(F.lit(level).alias("level"), *[
+            (F.col(c) if c in by else F.lit(None).cast("string")).alias(c) for c in finest], "orders", "customers"))
+    return reduce(DataFrame.unionByName, out)
+
+
 # ------------------------------------------------------------------ 12 KPIs
 def _kpi(name: str, value) -> list:
     return [F.lit(name).alias("kpi"), value.cast("double").alias("value")]

@@ -143,15 +143,16 @@ def cohort_retention(t, denominator: str = "active") -> DataFrame:
             .orderBy("cohort_month", "months_since_signup"))
 
 
-def cohort_retention_matrix(t, max_months: int | None = None, offsets=None) -> DataFrame:
+def cohort_retention_matrix(t, max_months: int | None = None, offsets=None, expected=()) -> DataFrame:
     """Cohorts as rows, months since signup as columns, retention % as cells.
 
-    ``max_months`` keeps the offsets up to it; ``offsets`` declares the columns (`pivot`).
+    ``max_months`` keeps the offsets up to it; ``offsets`` declares the columns and
+    ``expected`` are there in any case (`pivot`).
     """
     long = cohort_retention(t)
     if max_months is not None:
         long = long.filter(F.col("months_since_signup") <= max_months)
-    return pivot(long, "cohort_month", "months_since_signup", F.first("retention_pct"), offsets).orderBy("cohort_month")
+    return pivot(long, "cohort_month", "months_since_signup", F.first("retention_pct"), offsets, expected).orderBy("cohort_month")
 
 
 def rfm_segments(t, high_is_best: bool = False) -> DataFrame:

@@ -171,3 +171,22 @@ def test_several_payments_do_not_multiply_orders(spark):
     rows = [(str(r.month), r.total_orders, r.gross_revenue, r.avg_order_value) for r in shop.monthly_revenue(t).collect()]
     # lines count once for each payment, orders once in a month
     assert rows == [("2020-01-01", 2, 65.0, 13.0), ("2020-02-01", 1, 30.0, 15.0)]
+
+
+def test_a_state_slicer_filters_the_orders_scan(spark, t, tmp_path):
+    """Where the orders are too large to broadcast against, Spark's runtime Bloom filter of the
+    sliced customers reaches the orders' scan."""
+    warehouse.write_star(t, str(tmp_path / "star"))
+    star = Tables.from_parquet(spark, str(tmp_path / "star"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = report.order_status_mix(star, states=["RJ"])
+        assert "might_contain" in df._jdf.queryExecution().optimizedPlan().toString()
+        assert by(df, "order_status")["shipped"]["orders"] == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
