@@ -110,5 +110,21 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)"""
 
-ORACLES = {"op3_quality_rules": _quality(), "op4_substring_dedup": _WINDOWS, "op9_decontamination": _BENCHMARK,
-           "op10_suffix_array_dedup": _BYTES}
+_JACCARD = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_PLAIN}') AS words
+  FROM documents),
+-- as many words as there are, at most three, from each place on
+s AS (SELECT DISTINCT doc_id, array_to_string(words[k:k + 2], ' ') AS t
+      FROM (SELECT *, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS k FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id
+           GROUP BY ALL),
+pair AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+link AS (SELECT x, y FROM pair UNION ALL SELECT y, x FROM pair),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM w UNION SELECT link.y, reach.r FROM reach JOIN link ON link.x = reach.d)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT d AS doc_id, min(r) AS component_id FROM reach GROUP BY d) USING (doc_id)"""
+
+ORACLES = {"op3_quality_rules": _quality(), "op4_substring_dedup": _WINDOWS, "op5_ngram_jaccard": _JACCARD,
+           "op9_decontamination": _BENCHMARK, "op10_suffix_array_dedup": _BYTES}
