@@ -10,7 +10,7 @@ Occurrences are located from sampled suffix positions by walking the
 transform, and their spans merge into the words to remove.
 
 The benchmark is a stated query set. Its size is measured first; it is handed to
-the tasks in blocks of at most ``block_bytes`` bytes of text. With more than one
+the tasks as arrays, in blocks of about ``block_bytes`` bytes of text. With more than one
 block the documents pass through one scan for each, spans add up, and no text is
 shuffled.
 
@@ -30,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import (ALNUM_WORD, LOWER, arrow_map, materialize, out_batch, out_schema, table,
-                                   text_batches, word_hashes, word_spans)
+from marketlens.llm.common import (ALNUM_WORD, BASES, LOWER, arrow_map, materialize, mix, out_batch, out_schema, table,
+                                   text_batches, utf8, word_hashes, word_spans)
 
 WINDOW = 13
 SHARD_BYTES = 4 << 20
 SAMPLE = 8
+#: Text of the benchmark that is searched for at once: the driver and each worker need some 30 times as much.
+BLOCK_BYTES = 4 << 20
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray):
@@ -45,25 +47,39 @@ def words_of(data: np.ndarray, offsets: np.ndarray):
 
 
 class Phrases:
-    """Test phrases as arrays: vocabulary, symbols, and the items of each phrase."""
+    """Test phrases as arrays: a phrase is a range of the items' symbols, and has a range of
+    its items' numbers. Equal phrases are told by two 64-bit hashes of their words."""
 
-    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
-        raw = [(i, (t or "").encode()) for i, t in items]
-        data = np.frombuffer(b"".join(t for _, t in raw), np.uint8)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for _, t in raw])]).astype(np.int64)
+    def __init__(self, ids: list[str | None], data: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
         h, rows = words_of(data, offsets)
-        self.vocab = np.unique(h)
-        symbols = np.searchsorted(self.vocab, h) + 1
-        found: dict[tuple, set] = {}
-        for r, (item, _) in enumerate(raw):
-            w = symbols[rows[r]:rows[r + 1]].tolist()
-            for s in range(max(1, len(w) - window + 1)) if w else ():
-                found.setdefault(tuple(w[s:s + window]), set()).add(item)
-        self.items = [sorted(x for x in v if x is not None) for v in found.values()]
-        self.length = np.array([len(p) for p in found], np.int64)
-        self.symbols = np.zeros((len(found), window), np.int64)
-        for n, p in enumerate(found):
-            self.symbols[n, :len(p)] = p
+        self.vocab, symbols = np.unique(h, return_inverse=True)
+        self.text = (symbols + 1).astype(np.int32)
+        words = np.diff(rows)
+        count = np.where(words > 0, np.maximum(words - window + 1, 1), 0)
+        item = np.repeat(np.arange(len(words)), count)
+        start = rows[:-1][item] + np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+        length = np.minimum(words, window)[item]
+        one, two = length.astype(np.uint64), np.zeros(len(item), np.uint64)
+        for j in range(window):
+            w = np.where(j < length, h[np.minimum(start + j, len(h) - 1)], 0) if len(h) else np.zeros(0, np.uint64)
+            one, two = one * BASES[0] + w, two * BASES[1] + mix(w + np.uint64(j))
+        self.names = sorted({i for i in ids if i is not None})
+        number = {i: n for n, i in enumerate(self.names)}
+        code = np.array([-1 if i is None else number[i] for i in ids], np.int32)[item] if len(item) else item.astype(np.int32)
+        o = np.lexsort((code, two, one))
+        new = np.ones(len(o), bool)
+        new[1:] = (one[o][1:] != one[o][:-1]) | (two[o][1:] != two[o][:-1])
+        first = o[new]
+        self.start, self.length = start[first].astype(np.int32), length[first].astype(np.int8 if window < 128 else np.int32)
+        # the items of each phrase, each once; items without an id have no number
+        phrase, code = np.cumsum(new) - 1, code[o]
+        keep = code >= 0
+        keep[1:] &= (phrase[1:] != phrase[:-1]) | (code[1:] != code[:-1])
+        self.code = code[keep]
+        self.bounds = np.searchsorted(phrase[keep], np.arange(len(first) + 1)).astype(np.int32)
+
+    def items(self, phrase: int) -> list[str]:
+        return [self.names[c] for c in self.code[self.bounds[phrase]:self.bounds[phrase + 1]]]
 
 
 def suffix_order(x: np.ndarray) -> np.ndarray:
@@ -135,16 +151,17 @@ class FMIndex:
         """Occurrences of c among the first i symbols of the transform."""
         return self._down(c, i) - self._down(c, np.zeros_like(i))
 
-    def search(self, symbols: np.ndarray, length: np.ndarray):
-        """Row range of each phrase."""
+    def search(self, symbols: np.ndarray, start: np.ndarray, length: np.ndarray):
+        """Row range of each phrase: the ``length`` symbols from ``start`` on."""
+        length = length.astype(np.int64)
         lo = np.zeros(len(length), np.int64)
         hi = np.full(len(length), self.n, np.int64)
         live = np.flatnonzero(length > 0)
-        for back in range(1, symbols.shape[1] + 1):
+        for back in range(1, int(length.max(initial=0)) + 1):
             live = live[(length[live] >= back) & (hi[live] > lo[live])]
             if not len(live):
                 break
-            c = symbols[live, length[live] - back]
+            c = symbols[start[live] + length[live] - back].astype(np.int64)
             there = c < len(self.before)
             hi[live[~there]] = lo[live[~there]]
             live, c = live[there], c[there]
@@ -197,7 +214,7 @@ def occurrences(h: np.ndarray, rows: np.ndarray, phrases: Phrases):
     word[first + lens - 1] = False
     x[word] = symbol[origin[word]]
     index = FMIndex(x)
-    lo, hi = index.search(phrases.symbols, phrases.length)
+    lo, hi = index.search(phrases.text, phrases.start, phrases.length)
     n = np.maximum(hi - lo, 0)
     which = np.repeat(np.arange(len(n)), n)
     row = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
@@ -223,7 +240,7 @@ def _scan(df: DataFrame, phrases: Phrases, keep: list[str], text_col: str) -> Da
             doc = np.searchsorted(rows, start, "right") - 1
             by_doc: dict[int, set] = {}
             for d, p in set(zip(doc.tolist(), which.tolist())):
-                by_doc.setdefault(d, set()).update(ph.items[p])
+                by_doc.setdefault(d, set()).update(ph.items(p))
             old = {c: b.batch.column(c) for c in ("spans", "items") if c in b.batch.schema.names}
             for d in sorted(set(by_doc) | (set(range(b.rows)) if old else set())):
                 mine = hit[rows[d]:rows[d + 1]].copy()
@@ -244,16 +261,18 @@ def _scan(df: DataFrame, phrases: Phrases, keep: list[str], text_col: str) -> Da
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
-                  block_bytes: int = 64 << 20) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``keep`` columns, n_words, spans (begin, end word of each hit run, flat) and items of every row."""
     bench = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).alias("t"))
     size = bench.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    blocks = max(1, -(-2 * size // block_bytes))
+    blocks = max(1, -(-size // block_bytes))
     names = [*keep] + ([text_col] if text_col not in keep else [])
     out = df.select(*names)
     for n in range(blocks):
         part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == n)
-        ph = Phrases([(r["i"], r["t"]) for r in part.collect()], window)
+        rows = part.toArrow().combine_chunks()
+        data, offsets = utf8(rows["t"].combine_chunks()) if rows.num_rows else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
+        ph = Phrases(rows["i"].to_pylist(), data, offsets, window)
         last = n == blocks - 1
         out = _scan(out, ph, list(keep) if last else names, text_col)
         if not last:

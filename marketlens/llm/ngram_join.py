@@ -57,6 +57,7 @@ from marketlens.llm.repeats import NO_ID, keyed
 BLOCK = 128
 FREQUENT = 0.005  # share of the texts from which a gram counts as frequent
 SAMPLE_TEXTS = 4096  # texts whose grams are counted together
+SAMPLE_GRAMS = 4 << 20  # or fewer, if they have so many grams
 LEAF, FANOUT, BITS = 8, 4, 4096
 _GOLD, BINS_SEED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -101,7 +102,7 @@ def class_ids(g: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _survey(batches: Iterator[pa.RecordBatch], n: int, share: float) -> Iterator[pa.RecordBatch]:
     """Members (kind 0) and, of every few thousand texts, the grams that many of them have (kind 1)."""
     held: list[np.ndarray] = []
-    texts = 0
+    texts = grams = 0
 
     def frequent():
         g, c = np.unique(np.concatenate(held), return_counts=True)
@@ -120,9 +121,10 @@ def _survey(batches: Iterator[pa.RecordBatch], n: int, share: float) -> Iterator
                               names=["kind", "doc", "disc", "n", "c1", "c2"])
         held.append(g)
         texts += b.rows
-        if texts >= SAMPLE_TEXTS:
+        grams += len(g)
+        if texts >= SAMPLE_TEXTS or grams >= SAMPLE_GRAMS:
             yield frequent()
-            held, texts = [], 0
+            held, texts, grams = [], 0, 0
     if held:
         yield frequent()
 

@@ -1,10 +1,11 @@
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from brute import frame
 
-from marketlens.llm import components, ngram_join
+from marketlens.llm import common, components, ngram_join
 
 
 def made():
@@ -57,3 +58,21 @@ def test_components_of_long_and_branching_graphs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(7, 7)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
+
+
+def test_the_survey_is_bounded_by_grams(monkeypatch):
+    """Long texts are counted in smaller lots; a gram that many texts have is found all the same."""
+    texts = [" ".join(["a b c d"] + [f"w{i}x{j}" for j in range(400)]) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(range(40), pa.int32()), pa.array(texts)],
+                                       ["doc", "disc", "text"])
+
+    def frequent():
+        out = [r for b in ngram_join._survey(iter([batch]), 3, 0.5) for r in b.to_pylist()]
+        assert [r["n"] for r in out if r["kind"] == 0] == [402] * 40
+        return {r["c1"] for r in out if r["kind"] == 1}, sum(r["n"] for r in out if r["kind"] == 1)
+
+    monkeypatch.setattr(ngram_join, "SAMPLE_GRAMS", 1000)
+    monkeypatch.setattr(common.text_batches, "__defaults__", ("text", 8000))
+    few = frequent()
+    monkeypatch.undo()
+    assert few == frequent() == (few[0], 80) and len(few[0]) == 2

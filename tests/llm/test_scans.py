@@ -1,6 +1,8 @@
 """Decontamination, quality rules, licences and language ids."""
 
+import pickle
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -21,7 +23,7 @@ def test_fm_index_finds_all_occurrences():
         symbols = np.zeros((20, 4), int)
         for i, n in enumerate(length):
             symbols[i, :n] = [rnd.randint(1, 4) for _ in range(n)]
-        lo, hi = f.search(symbols, length)
+        lo, hi = f.search(symbols.ravel(), np.arange(20) * 4, length)
         for i, n in enumerate(length):
             want = [j for j in range(len(x)) if list(x[j:j + n]) == list(symbols[i, :n])]
             assert sorted(f.locate(np.arange(lo[i], max(lo[i], hi[i])))) == want
@@ -47,6 +49,20 @@ def test_contamination(spark, odd_docs):
     assert [(r.doc_id, r.units) for r in left.collect()] == [(2, "x")]
 
 
+def test_phrases_take_little_memory():
+    """Some 30 bytes for a byte of benchmark, on the driver and in what is sent."""
+    rnd = random.Random(3)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(400)).encode() for _ in range(300)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    tracemalloc.start()
+    ph = D.Phrases([str(i) for i in range(300)], data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ph.length) == 300 * 388 and ph.items(0)
+    assert peak < 60 * len(data) and len(pickle.dumps(ph)) < 8 * len(data)
+
+
 def test_quality_statistics(spark, odd_docs):
     out = Q.quality_rules(frame(spark, odd_docs)).collect()
     cols = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
