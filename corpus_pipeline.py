@@ -12,6 +12,14 @@ stage's input. The last stage returns the packed sequences.
    that operator would leave passages of over 50 words.
 4. decontamination: documents that hold benchmark passages go.
 5. packing: sequences of at most 4096 words, batches by length bucket.
+
+Edge cases: a null, empty or very short text goes in the first stage, as the base
+rule rejects it; of repeated rows one stays, as of near copies; documents without
+an id are judged as others, and the smallest id of a group stays before them; a
+document that is cut stays, also when nothing of it is left; an empty table gives
+an empty result in every stage; other columns, whatever their names, stay as they are
+until the last stage. The longest text is bounded by a worker's memory (some 25 bytes
+for each of its own).
 """
 
 from __future__ import annotations
