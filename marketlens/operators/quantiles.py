@@ -32,7 +32,11 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence
     picked, groups = select_ranks(values, by, [(F.floor(p), F.ceil(p)) for p in pos], value, also=also)
     of = lambda i, c: F.max(F.when(F.col("_t") == i, F.col(c)))
     wide = picked.groupBy(*by).agg(*[of(i, v).alias(f"_{n}_{v}") for i, n in enumerate(names) for v in ("v0", "v1")])
-    joined = join_on_keys(groups, F.broadcast(wide), by, "left") if by else groups.join(F.broadcast(wide))
+    if by:
+        joined = join_on_keys(groups, F.broadcast(wide), by, "left")
+    else:  # one row each
+        both = groups.unionByName(wide, allowMissingColumns=True)
+        joined = both.agg(*[F.max(c).alias(c) for c in both.columns])
     out = []
     for p, n in zip(pos, names):
         q = F.col(f"_{n}_v0") + (F.col(f"_{n}_v1") - F.col(f"_{n}_v0")) * (p - F.floor(p))

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
 from marketlens.operators.distinct import bitmaps, dense_ids, distinct_counts, sketch_counts, sketches
-from marketlens.operators.ranking import join_on_keys
 
 MEASURES = (
     "total_revenue", "orders", "avg_order_value", "total_items", "avg_items_per_order",
@@ -173,7 +172,8 @@ def distinct_rollup(t, approximate: bool = False, **scope) -> DataFrame:
     out = []
     for level, by in LEVELS.items():
         orders, customers = (count(parts[n], by, n) for n in ("orders", "customers"))
-        both = join_on_keys(orders, customers, by) if by else orders.join(F.broadcast(customers))  # one row each
+        both = orders.unionByName(customers, allowMissingColumns=True).groupBy(*by).agg(
+            F.max("orders").alias("orders"), F.max("customers").alias("customers"))
         out.append(both.select(F.lit(level).alias("level"), *[
             (F.col(c) if c in by else F.lit(None).cast("string")).alias(c) for c in finest], "orders", "customers"))
     return reduce(DataFrame.unionByName, out)
