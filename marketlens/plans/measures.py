@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import expr as X
 from marketlens.operators.distinct import bitmaps, dense_ids, distinct_counts, sketch_counts, sketches
+from marketlens.operators.selection import checkpointed
 
 MEASURES = (
     "total_revenue", "orders", "avg_order_value", "total_items", "avg_items_per_order",
@@ -154,9 +155,9 @@ LEVELS = {"month_state": ("month_label", "customer_state"), "month": ("month_lab
 def distinct_rollup(t, approximate: bool = False, **scope) -> DataFrame:
     """Distinct orders and customers per month and state, per month, per state and over all.
 
-    The orders are read once: bitmaps of the finest groups are OR-ed to those of the
-    coarser ones (`operators.distinct`). Repeated orders count once. ``approximate``
-    takes sketches instead, which need no numbering of the ids.
+    Bitmaps of the finest groups are made once and OR-ed to those of the coarser ones
+    (`operators.distinct`). Repeated orders count once. ``approximate`` takes sketches
+    instead, which need no numbering of the ids.
     """
     states = t.dim_customer.select("customer_id", "customer_state")
     fo = order_frame(t, **scope).select("order_id", "customer_id", "month_label").join(states, "customer_id", "left")
@@ -164,10 +165,10 @@ def distinct_rollup(t, approximate: bool = False, **scope) -> DataFrame:
     parts = {}
     for key, name, cluster in (("order_id", "orders", "month_label"), ("customer_id", "customers", "customer_state")):
         if approximate:
-            parts[name] = sketches(fo, finest, key)
+            part = sketches(fo, finest, key)
         else:
-            numbers = dense_ids(fo, key, "_no", [cluster])
-            parts[name] = bitmaps(fo.join(numbers, key), finest, "_no")
+            part = bitmaps(fo.join(dense_ids(fo, key, "_no", [cluster]), key), finest, "_no")
+        parts[name] = checkpointed(part)  # all levels are made from the finest groups
     count = sketch_counts if approximate else distinct_counts
     out = []
     for level, by in LEVELS.items():
