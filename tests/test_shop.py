@@ -39,7 +39,7 @@ CSV = {
 108,3,2022-04-03,pending
 """,
     "order_items": """item_id,order_id,product_id,quantity,unit_price
-1,100,10,1,617.00
+1,100,10,1,640.00
 2,100,12,2,0.50
 3,101,11,1,31.45
 4,101,12,1,31.44
@@ -52,7 +52,7 @@ CSV = {
 11,108,11,1,130.00
 """,
     "payments": """payment_id,order_id,amount,payment_date,method
-1,100,618.00,2022-01-15,card
+1,100,641.00,2022-01-15,card
 2,101,62.89,2022-06-20,paypal
 3,102,351.00,2023-01-20,card
 4,103,300.00,2023-03-01,transfer
@@ -80,7 +80,7 @@ def test_monthly_revenue_line_average_rounds_half_up(t):
                       dt.date(2023, 1, 1), dt.date(2023, 3, 1)}
     june = r[dt.date(2022, 6, 1)]
     assert (june["total_orders"], june["gross_revenue"], june["avg_order_value"]) == (1, 62.89, 31.45)
-    assert r[dt.date(2022, 1, 1)]["avg_order_value"] == 309.0  # two lines, one order
+    assert r[dt.date(2022, 1, 1)]["avg_order_value"] == 320.5  # two lines, one order
 
 
 def test_orders_without_payment_uses_anti_join_and_not_in(t):
@@ -91,7 +91,7 @@ def test_orders_without_payment_uses_anti_join_and_not_in(t):
 
 def test_yoy_missing_year_is_null_or_zero(t):
     r = rows(shop.yoy_by_category(t, 2022, 2023), "category")
-    assert r["Electronics"]["yoy_growth_pct"] == 13.5
+    assert r["Electronics"]["yoy_growth_pct"] == 9.4
     assert r["Furniture"]["revenue_2022"] == 151.45 and r["Furniture"]["yoy_growth_pct"] == 98.1
     assert r["Stationery"]["revenue_2023"] is None and r["Stationery"]["yoy_growth_pct"] is None
     z = rows(shop.yoy_by_category(t, 2022, 2023, missing_as_zero=True), "category")
@@ -109,16 +109,16 @@ def test_first_vs_repeat_same_day_tie_and_gaps(t):
 
 def test_daily_running_rows_vs_calendar(t):
     r = rows(shop.daily_running_revenue(t), "day")
-    assert r[dt.date(2023, 3, 1)]["running_total"] == 1451.89
-    assert r[dt.date(2022, 6, 20)]["rolling_7day_avg"] == 266.96
+    assert r[dt.date(2023, 3, 1)]["running_total"] == 1474.89
+    assert r[dt.date(2022, 6, 20)]["rolling_7day_avg"] == 274.63
     cal = rows(shop.daily_running_revenue(t, calendar=True), "day")
     assert cal[dt.date(2022, 6, 20)]["rolling_7day_avg"] == 62.89  # nothing else within 7 days
 
 
 def test_customer_ltv_rank_and_average(t):
     r = rows(shop.customer_ltv(t), "customer_id")
-    assert r[1]["lifetime_value"] == 1680.89 and r[1]["ltv_rank"] == 1
-    assert r[1]["avg_order_value"] == 420.22 and r[1]["total_orders"] == 4
+    assert r[1]["lifetime_value"] == 1703.89 and r[1]["ltv_rank"] == 1
+    assert r[1]["avg_order_value"] == 425.97 and r[1]["total_orders"] == 4
     assert r[2]["ltv_rank"] == 2 and r[2]["avg_order_value"] == 65.0
     assert set(r) == {1, 2}
 
@@ -141,7 +141,7 @@ def test_rfm_reproduces_executed_direction(t):
 def test_top_products_margin(t):
     r = rows(shop.top_products_margin(t))
     assert [x["product_id"] for x in r] == [10, 11, 12]
-    assert (r[0]["gross_margin"], r[0]["margin_pct"]) == (317.0, 24.1)
+    assert (r[0]["gross_margin"], r[0]["margin_pct"]) == (340.0, 25.4)
     assert (r[2]["units_sold"], r[2]["margin_pct"]) == (13, 69.4)  # 29.44 / 42.44
 
 
