@@ -27,6 +27,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DecimalType, IntegralType
@@ -46,13 +48,14 @@ LOCAL_ROWS = 10_000
 _LOW, _HIGH = float("-inf"), float("inf")
 
 
-def small(df: DataFrame, max_rows: int = LOCAL_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` computed once, and whether it is small: then a local relation with a
-    broadcast hint, else a checkpoint."""
+def small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, pa.Table | None]:
+    """``df`` computed once: if it is small a local relation with a broadcast hint, and its
+    rows; else a checkpoint."""
+    max_rows = LOCAL_ROWS if max_rows is None else max_rows
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
-        return materialize_small(df), False
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema)), True
+        return materialize_small(df), None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema)), rows
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -63,7 +66,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def _sketch(inside: Column | None = None) -> Column:
     value = F.col("_s") if inside is None else F.when(inside, F.col("_s"))
-    return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], ACCURACY)
+    points = ", ".join(f"{i / GRID}D" for i in range(GRID + 1))
+    return F.percentile_approx(value, F.expr(f"array({points})"), ACCURACY)  # one text, not a thousand literals
 
 
 def _bracket(n: Column, before: Column, lo: Column, hi: Column, sketch: Column) -> tuple[Column, Column, Column]:
@@ -146,20 +150,24 @@ def select_ranks(rows: DataFrame, by: Sequence[str], ranks: Sequence[tuple[Colum
         *by, "_n", "_q", "_t", F.col("_k._k0").alias("_k0"), F.col("_k._k1").alias("_k1"))
     rows = rows.select(*by, "_x", "_s").where(F.col("_x").isNotNull())
     start = _bracket(F.col("_n"), F.lit(0), F.lit(_LOW), F.lit(_HIGH), F.col("_q"))
-    brackets, _ = small(each.select(*by, "_t", "_k0", "_k1", *[c.alias(k) for k, c in zip(("_lo", "_hi", "_rows"), start)]))
+    brackets, known = small(each.select(*by, "_t", "_k0", "_k1", *[c.alias(k) for k, c in zip(("_lo", "_hi", "_rows"), start)]))
     done: list[DataFrame] = []
     for _ in range(ROUNDS):
-        if (brackets.agg(F.max("_rows")).first()[0] or 0) > LIMIT:
-            brackets, _ = small(_narrowed(rows, brackets, by))
+        widest = pc.max(known["_rows"]).as_py() if known is not None else brackets.agg(F.max("_rows")).first()[0]
+        if (widest or 0) > LIMIT:
+            brackets, known = small(_narrowed(rows, brackets, by))
             continue
-        picked, _ = small(_picked(rows, brackets.drop("_rows"), by))
+        picked, got = small(_picked(rows, brackets.drop("_rows"), by))
+        if known is not None and got is not None and got.num_rows == known.num_rows and not (
+                got["v0"].null_count or got["v1"].null_count):
+            return reduce(DataFrame.unionByName, [*done, picked]), groups
         good = picked.where(F.col("v0").isNotNull() & F.col("v1").isNotNull())
         done.append(good)
         # targets whose rank was not in their bracket: narrow them from all values again
         missed = _anti(brackets, good, [*by, "_t"])
         if missed.isEmpty():
             return reduce(DataFrame.unionByName, done), groups
-        brackets, _ = small(missed.withColumns({"_lo": F.lit(_LOW), "_hi": F.lit(_HIGH), "_rows": F.lit(_HIGH)}))
+        brackets, known = small(missed.withColumns({"_lo": F.lit(_LOW), "_hi": F.lit(_HIGH), "_rows": F.lit(_HIGH)}))
     raise RuntimeError(f"{value}: ranks not found in {ROUNDS} rounds; does the proxy rise with the values?")
 
 
