@@ -8,22 +8,26 @@ group are sorted and compared is theirs (`Plan.order`).
    equal places, so it is enough to look at anchors; consecutive windows mostly
    share theirs. An anchor is recorded with the run of windows that it stands
    for and two hashes: of the gram (``key``) and of all units of the run (``ctx``).
-2. *Classes.* Records with equal key and ctx stand for equal runs; they are
-   settled without looking at any text, first within each task, so that a run
-   that occurs in a third of all documents leaves a task once, then over all
-   tasks, sorted by key. A key with one class and one record is unique and done.
-   Where a key has several classes, one record of each goes on.
-3. *Contexts.* These records fetch their units from the documents (joined by
-   document) and meet again by key, at most ``limit`` to a group; `Plan.order`
-   sorts them by what follows the anchor and by what precedes it, with the
-   common lengths of neighbours. Two records share a window with l units before
-   the anchor exactly if they agree in l units to the left and ``window`` - l
-   to the right.
+2. *Classes.* Records with equal key and ctx stand for equal runs. A class is
+   represented by two *leaves*, its first two occurrences; all others *follow*
+   the second one. Leaves are chosen first within each task, so that a run that
+   occurs in a third of all documents leaves a task twice, then over all tasks,
+   sorted by key. A key with one record is unique and done.
+3. *Contexts.* The leaves fetch their units from the documents (joined by
+   document) and meet again by key, at most ``limit`` classes to a group;
+   `Plan.order` sorts them by what follows the anchor and by what precedes it,
+   with the common lengths of neighbours. Two leaves share a window with l units
+   before the anchor exactly if they agree in l units to the left and
+   ``window`` - l to the right. Nothing but this order says that a window repeats.
 4. *Large groups.* A key with more than ``limit`` classes is divided by longer
    keys: a record's run is cut by the number of units before the anchor, into
    parts of ``steps`` windows, and the key of a part is all that its windows have
-   in common. Such a part is a record like any other, and carries its units; the
-   last step is 1, where each window is a group of its own.
+   in common. Such a part is a record like any other, with classes and leaves,
+   and carries its units; the last step is 1, where each window is a group of
+   its own, which is told by its two hashes and not compared again.
+5. *Followers.* From the last division back to the first, the windows found of
+   each class's second leaf are those of its followers, which meet them by key
+   and ctx.
 
 A document is told by its id and a hash of its text; a null id sorts last.
 """
@@ -32,6 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +46,13 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import BASES, Block, arrow_map, materialize, mix, out_batch, out_schema, text_batches
 
 NO_ID = 2**63 - 1
-FLUSH = 500_000  # records gathered in a task before its classes are settled
-GROUP_ROWS = 4096  # records compared at a time
-RECORD, REPEATED, REQUEST, SPLIT = 0, 1, 2, 3
+RECORD, REPEATED, REQUEST, SPLIT, FOLLOW = 0, 1, 2, 3, 4
 
 _FIELDS = [("kind", "byte", pa.int8(), np.int8), ("key", "long", pa.int64(), np.int64), ("ctx", "long", pa.int64(), np.int64),
            ("doc", "long", pa.int64(), np.int64), ("disc", "int", pa.int32(), np.int32), ("a", "int", pa.int32(), np.int32),
-           ("n", "int", pa.int32(), np.int32), ("off", "int", pa.int32(), np.int32), ("many", "boolean", pa.bool_(), bool)]
+           ("n", "int", pa.int32(), np.int32), ("off", "int", pa.int32(), np.int32),
+           ("led", "boolean", pa.bool_(), bool),  # a second leaf that others follow
+           ("home", "long", pa.int64(), np.int64)]  # a follower's key: its ``key`` scatters it
 NAMES = [f[0] for f in _FIELDS]
 DDL = ", ".join(f"{n} {t}" for n, t, _, _ in _FIELDS)
 ARROW = pa.schema([(n, t) for n, _, t, _ in _FIELDS])
@@ -65,6 +70,8 @@ class Plan:
     units: Callable[[Block], tuple]
     #: (contexts, units before the anchor) -> order and neighbours' common length, to the right and to the left
     order: Callable[[list[bytes], np.ndarray], tuple]
+    flush: int = 500_000  # records gathered in a task before its leaves are chosen
+    group_rows: int = 4096  # records compared at a time
 
     @property
     def reach(self) -> int:
@@ -123,26 +130,58 @@ def _runs(r: dict) -> dict:
     return _as(out | {"key": mix(out["doc"].view(np.uint64)).view(np.int64), "ctx": zero}, REPEATED)
 
 
-def _settle(r: dict, keep_first: bool) -> tuple[dict, dict]:
-    """One record of each (key, ctx) class, and the records that repeat.
+def _starts(r: dict, *names: str) -> np.ndarray:
+    """Where one of the columns differs from the row before."""
+    new = np.ones(len(r["key"]), bool)
+    new[1:] = np.logical_or.reduce([r[n][1:] != r[n][:-1] for n in names])
+    return new
+
+
+def _classed(r: dict) -> tuple[dict, np.ndarray]:
+    """Records sorted by class (key, ctx) and place, and where classes begin."""
+    r = _take(r, np.lexsort((r["a"], r["disc"], r["doc"], r["ctx"], r["key"])))
+    return r, _starts(r, "key", "ctx")
+
+
+def _leaves(r: dict, keep_first: bool) -> tuple[dict, dict]:
+    """The first two occurrences of each class, and the records that follow the second.
 
     Records of one document and place (repeated rows) count as one occurrence
     where the first stays, and as several otherwise.
     """
-    r = _take(r, np.lexsort((r["a"], r["disc"], r["doc"], r["ctx"], r["key"])))
-    n = len(r["key"])
-    new = np.ones(n, bool)
-    new[1:] = (r["key"][1:] != r["key"][:-1]) | (r["ctx"][1:] != r["ctx"][:-1])
+    r, new = _classed(r)
+    if not len(new):
+        return r, _followers(r)
+    first, which = np.flatnonzero(new), np.cumsum(new) - 1
+    lead = first[which]
+    later = (r["doc"] != r["doc"][lead]) | (r["a"] != r["a"][lead]) if keep_first else ~new
+    rank = np.cumsum(later)
+    rank -= rank[lead]
+    second, rest = later & (rank == 1), later & (rank > 1)
+    led = np.logical_or.reduceat(r["led"] | rest, first)
+    r["led"] = second & led[which]
+    leaf = new | second
+    return _take(r, leaf), _followers(_take(r, rest))
+
+
+def _followers(r: dict) -> dict:
+    """Scattered: followers only pass through the shuffle by key."""
+    out = {n: r[n] for n in NAMES}
+    spread = mix(r["doc"].view(np.uint64) ^ r["ctx"].view(np.uint64)).view(np.int64)
+    return _as(out | {"home": r["key"], "key": spread}, FOLLOW)
+
+
+def _equal(r: dict, keep_first: bool) -> tuple[dict, dict]:
+    """Of single windows, told by their hashes: one record of each class, and those that repeat."""
+    r, new = _classed(r)
     first = np.flatnonzero(new)
-    lead = first[np.cumsum(new) - 1] if n else first
+    lead = first[np.cumsum(new) - 1] if len(new) else first
     if keep_first:
         gone = (r["doc"] != r["doc"][lead]) | (r["a"] != r["a"][lead])
-        return _take(r, first), _take(r, gone)
-    size = np.diff(np.append(first, n))
-    several = np.repeat(size > 1, size)
-    rep = _take(r, first)
-    rep["many"] = np.logical_or.reduceat(r["many"], first) | (size > 1) if n else rep["many"]
-    return rep, _take(r, several)
+    else:
+        size = np.diff(np.append(first, len(new)))
+        gone = np.repeat(size > 1, size)
+    return _take(r, first), _runs(_take(r, gone))
 
 
 # --- 1: sampling -----------------------------------------------------------
@@ -209,9 +248,9 @@ def _sampled(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
     count = 0
 
     def flush():
-        rep, gone = _settle(_join(held), plan.keep_first)
+        both = _leaves(_join(held), plan.keep_first)
         held.clear()
-        for r in (rep, _runs(gone)):
+        for r in both:
             for i in range(0, len(r["key"]), 1 << 16):
                 yield _emit(_take(r, slice(i, i + (1 << 16))))
 
@@ -226,9 +265,9 @@ def _sampled(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
         disc = b.batch.column("disc").to_numpy(zero_copy_only=False)[row]
         held.append({"kind": np.zeros(m, np.int8), "key": key, "ctx": ctx, "doc": doc.astype(np.int64),
                      "disc": disc.astype(np.int32), "a": (a - rows[row]).astype(np.int32), "n": n.astype(np.int32),
-                     "off": (p - a).astype(np.int32), "many": np.zeros(m, bool)})
+                     "off": (p - a).astype(np.int32), "led": np.zeros(m, bool), "home": np.zeros(m, np.int64)})
         count += m
-        if count >= FLUSH:
+        if count >= plan.flush:
             yield from flush()
             count = 0
     if held:
@@ -237,31 +276,36 @@ def _sampled(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Recor
 
 # --- 2: classes ------------------------------------------------------------
 
-def _classes(batches: Iterator[pa.RecordBatch], plan: Plan, units: bool = False) -> Iterator[pa.RecordBatch]:
-    """Input sorted by key. Repeated runs, and requests for keys with several
-    classes, with ``units`` if the input has them."""
+def _classes(batches: Iterator[pa.RecordBatch], plan: Plan, units: bool = False,
+             single: bool = False) -> Iterator[pa.RecordBatch]:
+    """Input sorted by key. Followers, and requests of the leaves of keys with several
+    records, with ``units`` if the input has them; repeated windows where records are ``single`` ones."""
+    settle = _equal if single else _leaves
     pending: list[dict] = []
     split_key = None  # a key whose requests have begun to go out window by window
 
     def close(r: dict):
         """All records of some keys."""
-        nonlocal split_key
-        rep, gone = _settle(r, plan.keep_first)
-        if not len(rep["key"]):
+        rep, rest = settle(r, plan.keep_first)
+        if len(rest["key"]):
+            yield _emit(rest, units)
+        if not len(rep["key"]) or single:
             return
-        new = np.ones(len(rep["key"]), bool)
-        new[1:] = rep["key"][1:] != rep["key"][:-1]
-        size = np.diff(np.append(np.flatnonzero(new), len(new)))
-        classes = np.repeat(size, size)
-        split = (classes > plan.limit) | (rep["key"] == (rep["key"][0] - 1 if split_key is None else split_key))
-        ask = (classes > 1) | split
+        at = np.flatnonzero(_starts(rep, "key"))
+        size = np.diff(np.append(at, len(rep["key"])))
+        classes = np.add.reduceat(_starts(rep, "key", "ctx"), at, dtype=np.int64)
+        split = np.repeat(classes > plan.limit, size)
+        if split_key is not None:
+            split |= rep["key"] == split_key
+        ask = np.repeat(size > 1, size) | split
         out = _as(rep, REQUEST)
         out["kind"][split] = SPLIT
-        yield from (_emit(x, units) for x in (_runs(gone), _take(out, ask)) if len(x["key"]))
+        if ask.any():
+            yield _emit(_take(out, ask), units)
 
     for b in batches:
         r = _read(b)
-        done = r["kind"] == REPEATED
+        done = r["kind"] != RECORD
         if done.any():
             yield _emit(_take(r, done), units)
         r = _take(r, ~done)
@@ -274,13 +318,14 @@ def _classes(batches: Iterator[pa.RecordBatch], plan: Plan, units: bool = False)
             pending = [_take(r, slice(cut, None))]
             yield from close(_join(whole))
             split_key = None
-        elif sum(len(x["key"]) for x in pending) > FLUSH:  # one very frequent key
-            rep, gone = _settle(_join(pending), plan.keep_first)
-            yield _emit(_runs(gone), units)
+        elif sum(len(x["key"]) for x in pending) > plan.flush:  # one very frequent key
+            rep, rest = settle(_join(pending), plan.keep_first)
+            if len(rest["key"]):
+                yield _emit(rest, units)
             pending = [rep]
-            if len(rep["key"]) > FLUSH // 2:
+            if len(rep["key"]) > plan.flush // 2 and not single:
                 split_key = rep["key"][0]
-                last = len(rep["key"]) - 1  # its class may go on
+                last = int(np.searchsorted(rep["ctx"], rep["ctx"][-1], "left"))  # this class may go on
                 yield _emit(_as(_take(rep, slice(0, last)), SPLIT), units)
                 pending = [_take(rep, slice(last, None))]
     if pending:
@@ -342,11 +387,11 @@ def _divided(r: dict, begin: np.ndarray, h: np.ndarray, cut: Callable, plan: Pla
           "key": mix(first(anchor - part * step, anchor - wide + plan.window) + part.astype(np.uint64)).view(np.int64),
           "ctx": mix(second(anchor - most, anchor - least + plan.window) + place).view(np.int64),
           "a": (x["a"] + high[which] - most).astype(np.int32), "n": (most - least + 1).astype(np.int32),
-          "off": most.astype(np.int32), "many": np.zeros(len(which), bool)}
-    at = np.empty(len(which), object)  # where the part's units begin, through the sorting of `_settle`
+          "off": most.astype(np.int32), "led": np.zeros(len(which), bool)}
+    at = np.empty(len(which), object)  # where the part's units begin, through the sorting of the classes
     at[:] = (anchor - most).tolist()
-    rep, gone = _settle(x | {"units": at}, plan.keep_first)
-    yield _emit(_runs(gone), True)
+    rep, rest = (_leaves if step > 1 else _equal)(x | {"units": at}, plan.keep_first)
+    yield _emit(rest, True)
     begin = rep.pop("units").astype(np.int64)
     if step > 1:
         yield from _with_units(rep, begin, plan, cut)
@@ -412,7 +457,7 @@ def _resolved(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Reco
     for b in batches:
         parts.append({n: v for n, v in _read(b).items() if n != "units"})
         texts += b.column("units").to_pylist()
-        if len(texts) >= GROUP_ROWS:
+        if len(texts) >= plan.group_rows:
             keys = np.concatenate([p["key"] for p in parts])
             upto = int(np.searchsorted(keys, keys[-1], "left"))
             if upto:
@@ -421,6 +466,54 @@ def _resolved(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Reco
         yield from close(len(texts))
 
 
+# --- 5: followers ----------------------------------------------------------
+
+def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with their led leaves and their runs of repeated windows: per class the
+    runs inside its leaf, counted from the leaf's first window."""
+    schema = pa.schema([("home", pa.int64()), ("ctx", pa.int64()), ("begin", pa.int32()), ("windows", pa.int32())])
+
+    def column(b, name):
+        """Fields of a column of lists of structs, and each entry's row as the high half of a position."""
+        lists = b.column(name)
+        row = np.repeat(np.arange(b.num_rows, dtype=np.int64), np.diff(lists.offsets.to_numpy()))
+        flat = lists.flatten()
+        return (lambda f: flat.field(f).to_numpy(zero_copy_only=False)), row << 32
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        leaf, base = column(b, "leaves")
+        run, run_base = column(b, "runs")
+        start = run_base + run("a")
+        end = start + run("n")
+        o = np.argsort(start, kind="stable")
+        start, end = start[o], end[o]
+        high = np.maximum.accumulate(end)
+        new = np.ones(len(start), bool)
+        new[1:] = start[1:] > high[:-1]  # adjoining runs are one
+        at = np.flatnonzero(new)
+        start, end = start[at], np.maximum.reduceat(end, at)
+        low = base + leaf("a")
+        stop = low + leaf("n")
+        i = np.searchsorted(end, low, "right")
+        many = np.maximum(np.searchsorted(start, stop, "left") - i, 0)
+        of = np.repeat(np.arange(len(low)), many)
+        i = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + i[of]
+        x, y = np.maximum(start[i], low[of]), np.minimum(end[i], stop[of])
+        yield out_batch(schema, home=leaf("key")[of], ctx=leaf("ctx")[of], begin=(x - low[of]).astype(np.int32),
+                        windows=(y - x).astype(np.int32))
+
+
+def _followed(followers: DataFrame, leaves: DataFrame, runs: DataFrame) -> DataFrame:
+    """Repeated runs of the followers: those of their class's second leaf."""
+    led = leaves.where("led").groupBy("doc", "disc").agg(F.collect_list(F.struct("key", "ctx", "a", "n")).alias("leaves"))
+    found = runs.groupBy("doc", "disc").agg(F.collect_list(F.struct("a", "n")).alias("runs"))
+    verdicts = arrow_map(led.join(found, ["doc", "disc"]), _verdicts, "home long, ctx long, begin int, windows int")
+    return followers.select("home", "ctx", "doc", "disc", "a").join(verdicts, ["home", "ctx"]).select(
+        "doc", "disc", (F.col("a") + F.col("begin")).alias("a"), F.col("windows").alias("n"))
+
+
 # --- all steps -------------------------------------------------------------
 
 def _by_key(df: DataFrame) -> DataFrame:
@@ -440,29 +533,38 @@ def repeated_windows(df: DataFrame, plan: Plan, id_col: str = "doc_id", text_col
         F.col("_doc").alias("doc"), F.col("_disc").alias("disc"), F.col("_t").alias("text"))
     sampled = arrow_map(docs, lambda it: _sampled(it, plan), DDL)
     settled = materialize(arrow_map(_by_key(sampled), lambda it: _classes(it, plan), DDL), "classes")
-    runs = settled.where(F.col("kind") == REPEATED)
+    levels = [(settled.where(F.col("kind") == FOLLOW), settled.where(F.col("kind").isin(REQUEST, SPLIT)))]
 
-    asked = settled.where(F.col("kind").isin(REQUEST, SPLIT)).groupBy("doc", "disc").agg(
+    asked = levels[0][1].groupBy("doc", "disc").agg(
         F.collect_list(F.struct(*(F.col(n) for n in NAMES if n not in ("doc", "disc")))).alias("asked"))
-    asking = docs.join(asked, ["doc", "disc"])
-    if plan.keep_first:  # repeated rows of a document ask once
-        asking = asking.dropDuplicates(["doc", "disc"])
+    # repeated rows of a document ask once: each of their leaves is an entry of its own
+    asking = docs.join(asked, ["doc", "disc"]).dropDuplicates(["doc", "disc"])
     wide = f"{DDL}, units binary"
     now = materialize(arrow_map(asking, lambda it: _contexts(it, plan, plan.steps[0]), wide), "contexts")
-    here = (F.col("kind") == REQUEST) & F.col("units").isNotNull()  # single windows are told by their hashes alone
-    contexts = now.where(here)
-    for step in (*plan.steps[1:], 0):
-        runs = runs.unionByName(now.where(F.col("kind") == REPEATED).select(NAMES))
+    here = F.col("kind") == REQUEST
+    contexts, runs = now.where(here), []
+    for step, next_step in zip(plan.steps, (*plan.steps[1:], 0)):
+        single = step == 1
         parts = now.where(F.col("kind") == RECORD)
-        settled = materialize(arrow_map(_by_key(parts), lambda it: _classes(it, plan, True), wide), "classes")
-        runs = runs.unionByName(settled.where(F.col("kind") == REPEATED).select(NAMES))
-        contexts = contexts.unionByName(settled.where(here))
-        split = settled.where(F.col("kind") == SPLIT)
-        if not step or split.isEmpty():
+        classed = materialize(arrow_map(_by_key(parts), lambda it, single=single: _classes(it, plan, True, single), wide),
+                              "classes")
+        if single:  # windows that are told by their hashes
+            runs += [x.where(F.col("kind") == REPEATED).select("doc", "disc", "a", "n") for x in (now, classed)]
+            break
+        levels.append((now.where(F.col("kind") == FOLLOW).unionByName(classed.where(F.col("kind") == FOLLOW)),
+                       classed.where(F.col("kind").isin(REQUEST, SPLIT))))
+        contexts = contexts.unionByName(classed.where(here))
+        split = classed.where(F.col("kind") == SPLIT)
+        if split.isEmpty():
             break
-        now = materialize(arrow_map(split, lambda it, step=step: _parts(it, plan, step), wide), "contexts")
-    runs = runs.unionByName(arrow_map(_by_key(contexts), lambda it: _resolved(it, plan), DDL))
-    return runs.groupBy("doc", "disc").agg(F.flatten(F.collect_list(F.array("a", "n"))).alias("runs"))
+        now = materialize(arrow_map(split, lambda it, step=next_step: _parts(it, plan, step), wide), "contexts")
+    compared = arrow_map(_by_key(contexts), lambda it: _resolved(it, plan), DDL).select("doc", "disc", "a", "n")
+    found = reduce(DataFrame.unionByName, runs, compared)
+    for followers, leaves in reversed(levels):
+        if not leaves.where("led").isEmpty():
+            found = materialize(found, "runs")
+            found = found.unionByName(_followed(followers, leaves, found))
+    return found.groupBy("doc", "disc").agg(F.flatten(F.collect_list(F.array("a", "n"))).alias("runs"))
 
 
 def remove_repeats(df: DataFrame, plan: Plan, keep: tuple[str, ...], joiner: bytes, id_col: str = "doc_id",

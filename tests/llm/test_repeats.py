@@ -40,6 +40,45 @@ def test_matches_brute_force(spark, kind, limit):
     assert run(frame(spark, rows), replace(plan, limit=limit), joiner) == expected(rows)
 
 
+@pytest.mark.parametrize("limit", [1, 10**6])
+@pytest.mark.parametrize("kind", CASES)
+def test_small_buffers(spark, kind, limit):
+    """Leaves are chosen again and again, and very frequent keys go out in pieces."""
+    plan, joiner, expected = CASES[kind]
+    rows = made(kind)
+    assert run(frame(spark, rows), replace(plan, limit=limit, flush=40, group_rows=6), joiner) == expected(rows)
+
+
+@pytest.mark.parametrize("kind", CASES)
+def test_nothing_repeats_unless_the_order_says_so(spark, kind):
+    """Copies of whole documents too are found by the sorted leaves, not by the hashes of their runs."""
+    plan, joiner, expected = CASES[kind]
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"w{rnd.randrange(10**6)}" for _ in range(150))) for i in range(12)]
+    rows += [(100 + i, rows[i % 12][1]) for i in range(60)] + [(200, rows[0][1]), (200, rows[0][1])]
+    order = plan.order
+
+    def blind(texts, off):
+        right, common_right, left, common_left = order(texts, off)
+        return right, 0 * common_right, left, 0 * common_left
+
+    assert all(r[2] == 0 for r in run(frame(spark, rows), replace(plan, order=blind), joiner))
+    assert run(frame(spark, rows), plan, joiner) == expected(rows)
+
+
+@pytest.mark.parametrize("kind", CASES)
+def test_followers_of_divided_leaves(spark, kind):
+    """Many copies of runs whose keys are divided: followers find the windows of leaves at every level."""
+    plan, joiner, expected = CASES[kind]
+    rnd = random.Random(9)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    hot = " ".join(f"hot{k}" for k in range(12 if kind == "words" else 80))
+    texts = [" ".join([*(word() for _ in range(25)), hot, *(word() for _ in range(25))]) for _ in range(8)]
+    rows = [(i, texts[i % 8]) for i in range(40)] + [(100 + i, f"{word()} {hot} {texts[i][-120:]}") for i in range(8)]
+    for limit in (1, 3):
+        assert run(frame(spark, rows), replace(plan, limit=limit, flush=50), joiner) == expected(rows)
+
+
 @pytest.mark.parametrize("kind", CASES)
 def test_odd_documents(spark, kind, odd_docs):
     plan, joiner, expected = CASES[kind]
