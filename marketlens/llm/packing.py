@@ -10,6 +10,10 @@ Batch numbers need a position in the whole bucket: pieces are numbered inside
 small shares of a bucket (by a hash of the id), and the shares' sizes, summed
 up, give their offsets. So a bucket with most pieces is never sorted at once.
 
+The registered query packs the tokens that `token_counts` finds for a tokenizer,
+so its bounds and budget are numbers of tokens; `word_counts` is for callers
+without a tokenizer.
+
 Edge cases: a null, empty or wordless text is one piece of 0 tokens without
 bucket or batch; repeated rows are packed each; fewer distinct lengths than
 buckets give one bucket for each length; an empty table gives an empty result;
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketlens.llm.common import PLAIN_WORD, arrow_map, materialize, out_batch, out_schema, table, text_batches, word_spans
+from marketlens.llm.token_counts import token_counts
 
 
 def word_counts(df: DataFrame, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
@@ -110,4 +115,7 @@ def pack(counts: DataFrame, id_col: str = "doc_id", max_tokens: int = 4096, buck
 
 
 def op8_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(materialize(word_counts(table(spark, sf_dir, "documents"), ("doc_id",)), "lengths"))
+    import public_tokenizers
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    counts = token_counts(table(spark, sf_dir, "documents"), model).select("doc_id", "n_tokens")
+    return pack(materialize(counts, "lengths"))

@@ -70,6 +70,28 @@ def test_bounds_have_the_least_padding():
         assert len(got) <= k and got[-1] == last and cost(got) == best
 
 
+def test_tokens_are_packed(spark, tmp_path):
+    """The registered query fills its budget with the tokenizer's tokens, also of texts without blanks."""
+    import public_tokenizers
+    import sentencepiece
+    rows = [(1, "語" * 9000), (2, None), (3, ""), *((10 + i, "some words " * (i + 1)) for i in range(40))]
+    path = str(tmp_path / "documents.parquet")
+    frame(spark, rows).write.parquet(path)
+    out = packing.op8_length_buckets(spark, str(tmp_path)).collect()
+    sp = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+    want = {i: len(sp.encode(t or "")) for i, t in rows}
+    got = {}
+    for r in out:
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_tokens
+        assert r.n_tokens <= 4096
+    assert got == want and sum(r.doc_id == 1 for r in out) == -(-want[1] // 4096) > 1
+    room = {}
+    for r in out:
+        if r.n_tokens:
+            room[r.bucket, r.batch] = room.get((r.bucket, r.batch), 0) + r.bucket
+    assert all(x <= 65536 for x in room.values())
+
+
 def test_batches(spark, odd_docs):
     rows = odd_docs + [(1000 + i, "w " * (i % 300)) for i in range(600)]
     counts = packing.word_counts(frame(spark, rows), ("doc_id",))
