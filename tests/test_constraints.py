@@ -89,3 +89,47 @@ def test_hot_references_are_counted_before_the_shuffle(spark):
     assert out.first().violations == 6667
     assert "partial_count_if" in out._jdf.queryExecution().sparkPlan().toString() or "partial" in \
         out._jdf.queryExecution().executedPlan().toString()
+
+
+def lines(spark):
+    """Orders with numbered lines: repeated, beyond 0 to 63, negative and null numbers; null and unknown orders."""
+    t = {"head": spark.createDataFrame([("1",), ("2",), ("2",)], "id string"),
+         "copy": spark.createDataFrame([("1",), ("3",)], "id string"),
+         "line": spark.createDataFrame(
+             [("1", 0), ("1", 0), ("1", 63), ("1", 63), ("1", 63), ("1", 64), ("1", 64), ("1", -1), ("1", -1), ("1", 1),
+              ("1", None), ("1", None), ("2", 1), ("2", 2), ("7", 5), ("7", 5), (None, 3), (None, 3), (None, None), (None, 64)]
+             + [("3", n) for n in range(-2, 70)], "id string, n int").repartition(3)}
+    rules = [("line", "pk", "unique", ("id", "n")), ("line", "fk", "fk", ("id", "head", "id")),
+             ("line", "fk_copy", "fk", ("id", "copy", "id")), ("head", "pk", "unique", ("id",)),
+             ("copy", "pk", "unique", ("id",)), ("line", "n", "not_null", ("n",))]
+    return t, rules
+
+
+def test_numbered_lines(spark):
+    t, rules = lines(spark)
+    rows = check_constraints(lambda n: t[n], rules).collect()
+    assert [tuple(r) for r in rows] == [("line", "pk", 8), ("line", "fk", 74), ("line", "fk_copy", 4), ("head", "pk", 1),
+                                        ("copy", "pk", 0), ("line", "n", 3)]
+
+
+def test_a_line_is_one_tagged_row(spark):
+    """Small line numbers ride along with the reference, which is sent once however many tables it refers to."""
+    t, rules = lines(spark)
+    t["line"] = spark.range(0, 4000, 1, 2).select((F.col("id") % 100).cast("string").alias("id"),
+                                                  F.floor(F.col("id") / 100).cast("int").alias("n"))
+    out = check_constraints(lambda n: t[n], rules)
+    rows = {(r.table_name, r.rule): r.violations for r in out.collect()}
+    assert rows["line", "pk"] == 0 and rows["line", "fk"] == 3920 and rows["line", "fk_copy"] == 3920
+    plan = out._jdf.queryExecution().executedPlan()
+    sent = []
+
+    def walk(p):
+        if p.nodeName() == "Exchange":
+            sent.append(p.metrics().apply("shuffleRecordsWritten").value())
+        kids = [p.executedPlan()] if p.nodeName() == "AdaptiveSparkPlan" else [p.plan()] if "QueryStage" in p.nodeName() else []
+        for i in range(p.children().size()):
+            kids.append(p.children().apply(i))
+        for k in kids:
+            walk(k)
+    walk(plan)
+    assert sent and max(sent) < 1000  # a row for each of the 4000 lines is not among them
