@@ -37,3 +37,26 @@ def test_scans_read_only_needed_columns(spark):
     plan = _plan(spark, "monthly_revenue")
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double>" in plan
     assert "EqualTo(l_linestatus,F)" in plan
+
+
+def test_order_categories_hold_no_split_in_memory(spark):
+    """Items reach the first shuffle as rows, not as (order, product) groups; repeats and nulls count as before."""
+    from decimal import Decimal
+
+    from marketlens.plans import report
+    from marketlens.sources.tables import Tables
+    items = [("1", "a", "2", "1"), ("1", "a", "2", "1"), ("1", "b", "4", "0"), ("2", "c", "8", "1"), ("2", "zz", "1", "1"),
+             (None, "a", "5", "0"), ("3", None, "7", "0"), ("4", "c", None, "1"), ("4", None, None, None)]
+    num = lambda x: None if x is None else Decimal(x)
+    t = Tables(spark, {
+        "fact_order_items": lambda: spark.createDataFrame(
+            [(o, p, num(x), num(y)) for o, p, x, y in items],
+            "order_id string, product_id string, price decimal(12,2), freight_value decimal(16,4)"),
+        "dim_product": lambda: spark.createDataFrame(
+            [("a", "x"), ("b", "x"), ("c", "y"), ("c", "z"), (None, "w")], "product_id string, category_en string")})
+    out = report.avg_ticket_by_category(t)
+    assert {r.category_en: (r.revenue, r.orders) for r in out.collect()} == {
+        "x": (15.0, 2), "y": (9.0, 2), "z": (9.0, 2), None: (9.0, 3)}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert not any("Aggregate" in line and "product_id" in line.split("functions")[0] for line in plan.splitlines())
+    assert "ShuffledHashJoin" in plan
