@@ -21,14 +21,17 @@ The join is exact: no link between different sets is lost.
    Two nodes are compared only if their largest possible overlap reaches the
    threshold for their sizes; leaves compare exactly. Pairs that are already in
    one component are skipped.
-4. *Large groups* are divided into blocks of about `BLOCK` sets by size. Blocks
-   are resolved alone; the largest part of each block then sends its most
+4. *Large groups*, of more than `BLOCK_GRAMS` grams, are dealt into bins again by
+   other hashes, now within the group and with the grams that many of these sets
+   share last. Sets that link meet in these bins too, sets that met by chance
+   mostly do not, so a group that chance has chained falls apart (`_divide`).
+5. What stays large is divided into blocks of about `BLOCK_GRAMS` grams by size.
+   Blocks are resolved alone; the largest part of each block then sends its most
    linked set to a tournament that joins these parts. Then only sets that share
-   a bin but not yet a part have to meet. Those of a bin with up to `BLOCK` sets
-   meet there. Of larger bins, the sets outside of the group's largest part meet
-   all blocks of fitting size. So a group of near copies costs in proportion to
-   its size, as does one that chance candidates have chained, and nothing is
-   skipped.
+   a bin but not yet a part have to meet: those outside of the group's largest
+   part meet all blocks of fitting size. Only in a group where bins of up to
+   `BLOCK` sets would copy fewer grams than pairs of blocks, their sets meet there,
+   unless all of them meet in blocks as well. Nothing is skipped.
 
 Edge cases: a text without words, or null, has an empty set, links with nothing
 and is its own component; a text shorter than n words has one gram, all of it;
@@ -41,7 +44,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +52,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.llm.common import (LOWER, PLAIN_WORD, Block, arrow_map, gram_hashes, materialize, mix, table,
-                                   text_batches, word_hashes, word_spans)
+from marketlens.llm.common import (LOWER, PLAIN_WORD, Block, arrow_map, broadcast_if_small, drop_shuffles, gram_hashes,
+                                   materialize, mix, table, text_batches, word_hashes, word_spans)
 from marketlens.llm.components import components
 from marketlens.llm.repeats import NO_ID, keyed
 
-BLOCK = 128
+BLOCK = 128  # sets of a bin, or of a round of the tournament, that meet at once
+BLOCK_GRAMS = 1 << 19  # grams of a block; a set counts as BLOCK_GRAMS / BLOCK_SETS at least
+BLOCK_SETS = 1024
+ROUNDS = 4  # of dividing large groups
 FREQUENT = 0.005  # share of the texts from which a gram counts as frequent
 SAMPLE_TEXTS = 4096  # texts whose grams are counted together
 SAMPLE_GRAMS = 4 << 20  # or fewer, if they have so many grams
@@ -99,18 +105,23 @@ def class_ids(g: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 # --- 1: classes and frequent grams -----------------------------------------
 
+def _often(held: list[np.ndarray], texts: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Grams that a share of the ``texts`` have, and how many have them."""
+    g, c = np.unique(np.concatenate(held), return_counts=True)
+    keep = c >= max(2.0, share * texts)
+    return g[keep].view(np.int64), c[keep]
+
+
 def _survey(batches: Iterator[pa.RecordBatch], n: int, share: float) -> Iterator[pa.RecordBatch]:
     """Members (kind 0) and, of every few thousand texts, the grams that many of them have (kind 1)."""
     held: list[np.ndarray] = []
     texts = grams = 0
 
     def frequent():
-        g, c = np.unique(np.concatenate(held), return_counts=True)
-        keep = c >= max(2.0, share * texts)
-        k = int(keep.sum())
-        zero = np.zeros(k, np.int64)
-        return pa.record_batch([pa.array(np.ones(k, np.int8)), pa.array(zero), pa.array(zero.astype(np.int32)),
-                                pa.array(c[keep]), pa.array(g[keep].view(np.int64)), pa.array(zero)],
+        g, c = _often(held, texts, share)
+        zero = np.zeros(len(g), np.int64)
+        return pa.record_batch([pa.array(np.ones(len(g), np.int8)), pa.array(zero), pa.array(zero.astype(np.int32)),
+                                pa.array(c), pa.array(g), pa.array(zero)],
                                names=["kind", "doc", "disc", "n", "c1", "c2"])
 
     for b in text_batches(batches, "text"):
@@ -129,6 +140,13 @@ def _survey(batches: Iterator[pa.RecordBatch], n: int, share: float) -> Iterator
         yield frequent()
 
 
+def _frequent(counted: DataFrame, total: int) -> np.ndarray:
+    """The grams (c1, n: how many texts have it) of a share of the ``total`` texts, ascending: at most
+    (mean set size) / FREQUENT, whatever the number of texts."""
+    return np.sort(np.array([r[0] for r in counted.groupBy("c1").agg(F.sum("n").alias("s")).where(
+        F.col("s") >= FREQUENT / 2 * total).select("c1").collect()], np.int64).view(np.uint64))
+
+
 # --- 2: candidates ---------------------------------------------------------
 
 @lru_cache(None)
@@ -141,8 +159,8 @@ def levels(num: int, den: int, upto: int) -> tuple[int, ...]:
 
 
 def bins_of(g: np.ndarray, offsets: np.ndarray, num: int, den: int, spare: float,
-            frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bin hash, row) of the bins that each set sends."""
+            frequent: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(bin hash, row) of the bins that each set sends; ``salt`` deals the grams anew."""
     n = np.diff(offsets)
     low = np.array(levels(num, den, int(n.max(initial=1)) * den // num + 2), np.int64)
     own = np.searchsorted(low, n, "right") - 1
@@ -152,6 +170,8 @@ def bins_of(g: np.ndarray, offsets: np.ndarray, num: int, den: int, spare: float
         rare = frequent[at] != g
     else:
         rare = np.ones(len(g), bool)
+    if salt:
+        g = mix(g + np.uint64(salt * int(BINS_SEED) % 2**64))
     keys, rows = [], []
     for up in (0, 1):
         level = own + up
@@ -216,6 +236,38 @@ def _signatures(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, s
             yield pa.record_batch([pa.array(key[s].view(np.int64)), pa.array(c1[pick][row[s]])], names=["key", "c"])
 
 
+def _counted(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
+    """Of every few thousand sets (grams), the grams that many of them have."""
+    held: list[np.ndarray] = []
+    texts = grams = 0
+
+    def often():
+        g, c = _often(held, texts, share)
+        return pa.record_batch([pa.array(g), pa.array(c)], names=["c1", "n"])
+
+    for b in text_batches(batches, "grams"):
+        held.append(b.data.copy().view(np.uint64))
+        texts += b.rows
+        grams += len(held[-1])
+        if texts >= SAMPLE_TEXTS or grams >= SAMPLE_GRAMS:
+            yield often()
+            held, texts, grams = [], 0, 0
+    if held:
+        yield often()
+
+
+def _dealt_again(batches: Iterator[pa.RecordBatch], num: int, den: int, spare: float, frequent: np.ndarray,
+                 salt: int) -> Iterator[pa.RecordBatch]:
+    """The bins of sets (comp, c1, grams); only sets of one group share any."""
+    for b in text_batches(batches, "grams"):
+        comp, c1 = (b.batch.column(x).to_numpy() for x in ("comp", "c1"))
+        key, row = bins_of(b.data.copy().view(np.uint64), b.offsets // 8, num, den, spare, frequent, salt)
+        key = mix(key + comp[row].view(np.uint64) * _GOLD)
+        for i in range(0, len(key), 1 << 17):
+            s = slice(i, i + (1 << 17))
+            yield pa.record_batch([pa.array(key[s].view(np.int64)), pa.array(c1[row[s]])], names=["key", "c"])
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Input sorted by key and class: the classes of each key that more than one
     has, with the smallest of them."""
@@ -422,17 +474,50 @@ def _by_group(df: DataFrame, num: int, den: int) -> DataFrame:
 
 # --- all steps -------------------------------------------------------------
 
+def _weight():
+    """Grams that a set (n) counts as."""
+    return F.greatest("n", F.lit(BLOCK_GRAMS // BLOCK_SETS))
+
+
+def _divide(large: DataFrame, num: int, den: int, spare: float) -> tuple[DataFrame, DataFrame]:
+    """The groups of ``large`` (comp, c1, c, n, grams), divided by further bins.
+
+    Returns (c1, comp, fits) of the sets that still share a bin with another, where
+    fits tells groups of one block, and the last round's bins (key, c) with their classes.
+    """
+    done, asked, total = None, large, large.count()
+    for salt in range(1, ROUNDS + 1):
+        frequent = _frequent(arrow_map(asked.select("grams"), partial(_counted, share=FREQUENT / 2), "c1 long, n long"), total)
+        bins = arrow_map(asked.select("comp", "c1", "grams"), partial(
+            _dealt_again, num=num, den=den, spare=spare, frequent=frequent, salt=salt), "key long, c long")
+        shared = materialize(arrow_map(bins.repartition("key").sortWithinPartitions("key", "c"), _shared,
+                                       "key long, c long, lead long"), "shared")
+        group = components(shared, "lead", "c").select(F.col("node").alias("c1"), F.col("label").alias("comp"))
+        known = group.join(large.select("c1", "n").distinct(), "c1")
+        fits = known.groupBy("comp").agg((F.sum(_weight()) <= BLOCK_GRAMS).alias("fits"))
+        now = materialize(group.join(fits, "comp").select("c1", "comp", "fits"), "groups")
+        fit = now.where("fits")
+        done = fit if done is None else done.unionByName(fit)
+        rest = now.where("not fits")
+        before, total = total, rest.count()
+        if not total or total > 0.9 * before:
+            break
+        asked = large.drop("comp").join(rest.drop("fits"), "c1")
+    return done.unionByName(rest), shared
+
+
 def _blocks(sets: DataFrame, keys: list[str]) -> DataFrame:
-    """``sets`` with block: about `BLOCK` sets of like size. Only counts of sizes are ordered."""
+    """``sets`` with block: sets of like size, of about `BLOCK_GRAMS` grams. Only counts of sizes are ordered."""
     sizes = sets.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("many"))
-    before = F.sum("many").over(Window.partitionBy(*keys).orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum(F.col("many") * _weight()).over(
+        Window.partitionBy(*keys).orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.withColumn("before", F.coalesce(before, F.lit(0)))
-    at = F.col("before") + F.pmod(F.xxhash64("c"), F.col("many"))
-    return sets.join(sizes, [*keys, "n"]).withColumn("block", F.floor(at / BLOCK).cast("int")).drop("many", "before")
+    at = F.col("before") + F.pmod(F.xxhash64("c"), F.col("many")) * _weight()
+    return sets.join(sizes, [*keys, "n"]).withColumn("block", F.floor(at / BLOCK_GRAMS).cast("int")).drop("many", "before")
 
 
 def _resolve_large(large: DataFrame, shared: DataFrame, num: int, den: int) -> DataFrame:
-    """(c, label) of the sets of groups above `BLOCK` (comp, c1, c, n, grams).
+    """(c, label) of the sets of groups above a block (comp, c1, c, n, grams).
 
     ``shared`` (key, c) has the classes of each bin.
     """
@@ -462,14 +547,23 @@ def _resolve_large(large: DataFrame, shared: DataFrame, num: int, den: int) -> D
     inside = materialize(shared.select("key", F.col("c").alias("c1")).join(part, "c1"), "inside")
     bins = inside.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("label").alias("lo"), F.max("label").alias("hi"),
                                      F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("who")).where("lo <> hi")
-    # bins with the same sets meet once
-    small = bins.where(F.col("many") <= BLOCK).groupBy("many", "who").agg(F.min("key").alias("key")).select("key")
-    here = inside.join(small, "key").select(F.col("key").alias("g"), "comp", "c", "label")
+    unlike = inside.join(materialize(bins.select("key", "many", "who"), "bins"), "key")
+    # groups whose blocks copy fewer grams, if all of their open sets meet in blocks, than their small bins would
+    copied = unlike.groupBy("comp").agg(F.sum(F.when(F.col("many") <= BLOCK, F.col("n"))).alias("copied"))
+    spread = unlike.select("comp", "c", "n").distinct().groupBy("comp").agg(
+        F.ceil(F.sum(_weight()) / BLOCK_GRAMS).alias("blocks"))
+    whole = copied.join(spread, "comp").where(F.col("blocks") * F.col("blocks") * BLOCK_GRAMS <= F.col("copied")).select(
+        "comp", F.lit(True).alias("whole"))
+    wide = materialize(unlike.join(whole, "comp", "left").where((F.col("many") > BLOCK) | F.col("whole")).select(
+        "comp", "c", "label", "n").distinct(), "wide")
+    # sets of smaller bins meet there, unless all of them meet in blocks below; bins with the same sets meet once
+    apart = unlike.where(F.col("many") <= BLOCK).join(wide.select("c"), "c", "left_anti").groupBy("many", "who").agg(
+        F.min("key").alias("g"))
+    here = unlike.where(F.col("many") <= BLOCK).join(apart.select("g"), F.col("key") == F.col("g")).select(
+        "g", "comp", "c", "label")
     late = [_by_group(here.join(sets.select("c", "grams"), "c"), num, den)]
 
-    # sets of larger bins: those outside of the group's largest part meet all blocks of fitting size
-    wide = materialize(inside.join(bins.where(F.col("many") > BLOCK).select("key"), "key").select(
-        "comp", "c", "label", "n").distinct(), "wide")
+    # the others: those outside of the group's largest part meet all blocks of fitting size
     if not wide.isEmpty():
         count = wide.groupBy("comp", "label").agg(F.count(F.lit(1)).alias("many"))
         main = count.groupBy("comp").agg(F.max(F.struct("many", "label")).alias("top")).select(
@@ -501,19 +595,19 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 4, den: int = 5, spar
 
     The id must be an integer; disc tells apart texts of one id, label names the component.
     """
+    spark = df.sparkSession
     docs = keyed(df, id_col, text_col).select(F.col(id_col).cast("long").alias("doc"), F.col("_disc").alias("disc"),
                                               F.col("_doc").alias("key"), F.col("_t").alias("text"))
     survey = materialize(arrow_map(docs, lambda it: _survey(it, n, FREQUENT / 2),
                                    "kind byte, doc long, disc int, n long, c1 long, c2 long"), "survey")
     members = survey.where("kind = 0").drop("kind")
     total = members.count()
-    # at most (mean set size) / FREQUENT grams, whatever the number of texts
-    frequent = np.sort(np.array([r[0] for r in survey.where("kind = 1").groupBy("c1").agg(F.sum("n").alias("s")).where(
-        F.col("s") >= FREQUENT / 2 * total).select("c1").collect()], np.int64).view(np.uint64))
+    frequent = _frequent(survey.where("kind = 1"), total)
 
     bins = arrow_map(docs, lambda it: _signatures(it, n, num, den, spare, frequent), "key long, c long")
     shared = materialize(arrow_map(bins.repartition("key").sortWithinPartitions("key", "c"), _shared,
                                    "key long, c long, lead long"), "shared")
+    drop_shuffles(spark)
     group = materialize(components(shared, "lead", "c"), "groups").select(
         F.col("node").alias("c1"), F.col("label").alias("comp"))
 
@@ -539,13 +633,21 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 4, den: int = 5, spar
                 names=["comp", "c1", "c", "n", "grams"])
 
     sets = materialize(arrow_map(some, sets_of, "comp long, c1 long, c binary, n long, grams binary").dropDuplicates(["c"]), "sets")
-    size = sets.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    sized = sets.join(size, "comp")
-    small = sized.where(F.col("size").between(2, BLOCK)).withColumn("g", F.col("comp")).withColumn("label", F.col("c"))
+    drop_shuffles(spark)
+    big = broadcast_if_small(sets.groupBy("comp").agg(F.sum(_weight()).alias("size")).where(
+        F.col("size") > BLOCK_GRAMS).select("comp"))
+    small = sets.join(big, "comp", "left_anti").withColumn("g", F.col("comp")).withColumn("label", F.col("c"))
     labels = _by_group(small, num, den).where("kind = 0").select("c", "label")
-    large = sized.where(F.col("size") > BLOCK).drop("size")
-    if not large.isEmpty():
-        labels = labels.unionByName(_resolve_large(large, shared, num, den))
+    if not big.isEmpty():
+        large = sets.join(big, "comp")
+        divided, bins = _divide(large, num, den, spare)
+        drop_shuffles(spark)
+        again = large.drop("comp").join(divided, "c1")
+        few = again.where("fits").withColumn("g", F.col("comp")).withColumn("label", F.col("c"))
+        labels = labels.unionByName(_by_group(few, num, den).where("kind = 0").select("c", "label"))
+        left = divided.where("not fits")
+        if not left.isEmpty():
+            labels = labels.unionByName(_resolve_large(again.where("not fits").drop("fits"), bins, num, den))
 
     code = F.concat(*(F.unhex(F.lpad(F.hex(x), 16, "0")) for x in ("c1", "c2")))
     named = materialize(labels, "labels")

@@ -1,6 +1,7 @@
 import random
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pytest
 from brute import frame
@@ -76,3 +77,60 @@ def test_the_survey_is_bounded_by_grams(monkeypatch):
     few = frequent()
     monkeypatch.undo()
     assert few == frequent() == (few[0], 80) and len(few[0]) == 2
+
+
+def near_misses():
+    """Families of near copies, half of them just too unlike to link, long texts among them; and a chain of chance."""
+    rnd = random.Random(11)
+    rows = []
+
+    def family(words, copies, most):
+        base = [f"b{rnd.randrange(10**6)}" for _ in range(words)]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(rnd.randint(0, most)):
+                w[rnd.randrange(words)] = f"x{rnd.randrange(10**9)}"
+            rows.append((len(rows), " ".join(w)))
+
+    family(100, 150, 12)
+    family(400, 60, 45)
+    passages = [[f"p{i}x{j}" for j in range(30)] for i in range(40)]
+    for i in range(80):  # neighbours share a passage
+        own = [f"o{i}x{j}" for j in range(40)]
+        rows.append((len(rows), " ".join(passages[i // 2] + own + passages[(i + 1) // 2 % 40])))
+    return rows
+
+
+@pytest.mark.parametrize("n,num,den", [(3, 9, 10), (5, 4, 5)])
+def test_large_groups_copy_few_grams(spark, monkeypatch, n, num, den):
+    """Sets meet in blocks, not once in each of their bins, and no link is lost when groups are divided."""
+    rows = near_misses()
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 5000, raising=False)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 40, raising=False)
+    met, by_group = [], ngram_join._by_group
+
+    def counted(df, *args):
+        met.append(df.count())
+        return by_group(df, *args)
+
+    monkeypatch.setattr(ngram_join, "_by_group", counted)
+    out = ngram_join.ngram_components(frame(spark, rows), n, num, den)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr)
+    assert got == brute.jaccard_components(rows, n, num, den)
+    assert sum(met) < 20 * len(rows)
+
+
+def test_bins_dealt_again_keep_every_link():
+    """Sets that link share a bin whatever the salt, and only sets of one group share any."""
+    rnd = np.random.default_rng(3)
+    base = rnd.integers(1, 2**63, 300, dtype=np.uint64)
+    near = np.concatenate([base[30:], rnd.integers(1, 2**63, 30, dtype=np.uint64)])
+    for salt in range(1, 4):
+        sets = [np.sort(base), np.sort(near), np.sort(base)]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([7, 7, 8], pa.int64()), pa.array([1, 2, 3], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+            ["comp", "c1", "grams"])
+        out = pa.Table.from_batches(ngram_join._dealt_again(iter([batch]), 4, 5, 0.4, np.zeros(0, np.uint64), salt)).to_pylist()
+        keys = [{r["key"] for r in out if r["c"] == c} for c in (1, 2, 3)]
+        assert keys[0] & keys[1] and not keys[0] & keys[2]
