@@ -21,11 +21,11 @@ The join is exact: no link between different sets is lost.
    Two nodes are compared only if their largest possible overlap reaches the
    threshold for their sizes; leaves compare exactly. Pairs that are already in
    one component are skipped.
-4. *Large groups*, of more than `BLOCK_GRAMS` grams, are dealt into bins again by
+4. *Large groups*, of more than `VAST` blocks (see 5), are dealt into bins again by
    other hashes, now within the group and with the grams that many of these sets
    share last. Sets that link meet in these bins too, sets that met by chance
    mostly do not, so a group that chance has chained falls apart (`_divide`).
-5. What stays large is divided into blocks of about `BLOCK_GRAMS` grams by size.
+5. What has more than a block's grams is divided into blocks of about `BLOCK_GRAMS` grams by size.
    Blocks are resolved alone; the largest part of each block then sends its most
    linked set to a tournament that joins these parts. Then only sets that share
    a bin but not yet a part have to meet: those outside of the group's largest
@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketlens.llm.common import (LOWER, PLAIN_WORD, Block, arrow_map, broadcast_if_small, drop_shuffles, gram_hashes,
+from marketlens.llm.common import (LOWER, PLAIN_WORD, Block, arrow_map, broadcast_if_small, gram_hashes,
                                    materialize, mix, table, text_batches, word_hashes, word_spans)
 from marketlens.llm.components import components
 from marketlens.llm.repeats import NO_ID, keyed
@@ -60,7 +60,8 @@ from marketlens.llm.repeats import NO_ID, keyed
 BLOCK = 128  # sets of a bin, or of a round of the tournament, that meet at once
 BLOCK_GRAMS = 1 << 19  # grams of a block; a set counts as BLOCK_GRAMS / BLOCK_SETS at least
 BLOCK_SETS = 1024
-ROUNDS = 4  # of dividing large groups
+VAST = 16  # groups of more blocks are divided
+ROUNDS = 4  # of dividing them
 FREQUENT = 0.005  # share of the texts from which a gram counts as frequent
 SAMPLE_TEXTS = 4096  # texts whose grams are counted together
 SAMPLE_GRAMS = 4 << 20  # or fewer, if they have so many grams
@@ -595,7 +596,6 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 4, den: int = 5, spar
 
     The id must be an integer; disc tells apart texts of one id, label names the component.
     """
-    spark = df.sparkSession
     docs = keyed(df, id_col, text_col).select(F.col(id_col).cast("long").alias("doc"), F.col("_disc").alias("disc"),
                                               F.col("_doc").alias("key"), F.col("_t").alias("text"))
     survey = materialize(arrow_map(docs, lambda it: _survey(it, n, FREQUENT / 2),
@@ -607,7 +607,6 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 4, den: int = 5, spar
     bins = arrow_map(docs, lambda it: _signatures(it, n, num, den, spare, frequent), "key long, c long")
     shared = materialize(arrow_map(bins.repartition("key").sortWithinPartitions("key", "c"), _shared,
                                    "key long, c long, lead long"), "shared")
-    drop_shuffles(spark)
     group = materialize(components(shared, "lead", "c"), "groups").select(
         F.col("node").alias("c1"), F.col("label").alias("comp"))
 
@@ -633,20 +632,20 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 4, den: int = 5, spar
                 names=["comp", "c1", "c", "n", "grams"])
 
     sets = materialize(arrow_map(some, sets_of, "comp long, c1 long, c binary, n long, grams binary").dropDuplicates(["c"]), "sets")
-    drop_shuffles(spark)
     big = broadcast_if_small(sets.groupBy("comp").agg(F.sum(_weight()).alias("size")).where(
-        F.col("size") > BLOCK_GRAMS).select("comp"))
+        F.col("size") > BLOCK_GRAMS).select("comp", (F.col("size") > VAST * BLOCK_GRAMS).alias("vast")))
     small = sets.join(big, "comp", "left_anti").withColumn("g", F.col("comp")).withColumn("label", F.col("c"))
     labels = _by_group(small, num, den).where("kind = 0").select("c", "label")
-    if not big.isEmpty():
-        large = sets.join(big, "comp")
-        divided, bins = _divide(large, num, den, spare)
-        drop_shuffles(spark)
-        again = large.drop("comp").join(divided, "c1")
+    large = sets.join(big, "comp")
+    if not big.where("not vast").isEmpty():
+        labels = labels.unionByName(_resolve_large(large.where("not vast").drop("vast"), shared, num, den))
+    if not big.where("vast").isEmpty():
+        vast = large.where("vast").drop("vast")
+        divided, bins = _divide(vast, num, den, spare)
+        again = vast.drop("comp").join(divided, "c1")
         few = again.where("fits").withColumn("g", F.col("comp")).withColumn("label", F.col("c"))
         labels = labels.unionByName(_by_group(few, num, den).where("kind = 0").select("c", "label"))
-        left = divided.where("not fits")
-        if not left.isEmpty():
+        if not divided.where("not fits").isEmpty():
             labels = labels.unionByName(_resolve_large(again.where("not fits").drop("fits"), bins, num, den))
 
     code = F.concat(*(F.unhex(F.lpad(F.hex(x), 16, "0")) for x in ("c1", "c2")))

@@ -101,13 +101,14 @@ def near_misses():
     return rows
 
 
-@pytest.mark.parametrize("n,num,den", [(3, 9, 10), (5, 4, 5)])
-def test_large_groups_copy_few_grams(spark, monkeypatch, n, num, den):
+@pytest.mark.parametrize("n,num,den,vast", [(3, 9, 10, 1), (5, 4, 5, 16)])
+def test_large_groups_copy_few_grams(spark, monkeypatch, n, num, den, vast):
     """Sets meet in blocks, not once in each of their bins, and no link is lost when groups are divided."""
     rows = near_misses()
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 5000, raising=False)
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 40, raising=False)
+    monkeypatch.setattr(ngram_join, "VAST", vast, raising=False)
     met, by_group = [], ngram_join._by_group
 
     def counted(df, *args):
